@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from postlens import schemas
 from postlens.functions import params
-from postlens.sources.files import read_table
+from postlens.sources.files import read_table, read_texts
 
 POSTS_SQL = """
 select e.event_id as tweet_id, e.user_id as user_id, e.event_type as event_type, e.ts as ts,
@@ -49,8 +49,12 @@ DUCKDB_FORMAT = "strftime(e.ts,'%a %b %d %H:%M:%S +0000 %Y')"
 
 def posts(spark: SparkSession, folder: str) -> DataFrame:
     sql = POSTS_SQL.replace("{S}", "string").replace("{FMT}", SPARK_FORMAT)
-    tables = {name: read_table(spark, folder, name) for name in ("events", "nation", "documents")}
-    return spark.sql(sql, **tables)
+    return spark.sql(
+        sql,
+        events=read_texts(spark, folder, "events"),
+        nation=read_table(spark, folder, "nation"),
+        documents=read_table(spark, folder, "documents"),
+    )
 
 
 def tagged_posts(spark: SparkSession, folder: str) -> DataFrame:
@@ -204,6 +208,6 @@ def labelled_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Documents with a known quality as ``(doc_id, text, label)``; low quality is the target."""
     return (
         read_table(spark, folder, "labels")
-        .join(read_table(spark, folder, "documents"), "doc_id")
+        .join(read_texts(spark, folder, "documents"), "doc_id")
         .select("doc_id", "text", (1 - F.col("quality")).alias("label"))
     )

@@ -15,7 +15,15 @@ from postlens.plans import enrich, ingest, score
 from postlens.session import fresh_folder
 from postlens.sinks.files import write_lake, write_parquet, write_profiles
 from postlens.sources.external import stream_values
-from postlens.sources.files import in_partitions, in_window, read_csv, read_json, read_lake, read_table
+from postlens.sources.files import (
+    in_partitions,
+    in_window,
+    read_csv,
+    read_json,
+    read_lake,
+    read_table,
+    read_texts,
+)
 from postlens.streaming.enrich import enrich_stream, write_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,7 +92,7 @@ def lake_csv_scan(spark, folder):
 
 def parquet_roundtrip(spark, folder):
     path = fresh_folder(spark, "cleaned")
-    cleaned = cleaning.clean(read_table(spark, folder, "documents"))
+    cleaned = cleaning.clean(read_texts(spark, folder, "documents"))
     write_parquet(cleaned.select("doc_id", "prepped_text"), path)
     return spark.read.parquet(path)
 
@@ -145,9 +153,7 @@ def tweet_parse(spark, folder):
 
 def quarantine_split(spark, folder):
     split = enrich.split_quality(derived.payloads(spark, folder), keep=("tweet_id",))
-    good = enrich.usable(split).select("tweet_id", F.lit("usable").alias("state"))
-    bad = enrich.quarantined(split).select("tweet_id", F.col("reason").alias("state"))
-    return good.unionByName(bad)
+    return split.select("tweet_id", F.coalesce("reason", F.lit("usable")).alias("state"))
 
 
 def retweet_filter(spark, folder):
@@ -195,7 +201,7 @@ def country_resolve(spark, folder):
 
 def lemma_table(spark, folder):
     """Rewrite by a dictionary that grows with the data: plurals whose singular also occurs."""
-    texts = read_table(spark, folder, "documents").select("doc_id", F.lower("text").alias("text"))
+    texts = read_texts(spark, folder, "documents").select("doc_id", F.lower("text").alias("text"))
     tokens = texts.select(F.explode(F.split("text", " ")).alias("token")).distinct()
     plurals = tokens.where(F.col("token").rlike("^[a-z]{3,}s$"))
     singular = F.regexp_replace("token", "s$", "")
@@ -207,7 +213,7 @@ def lemma_table(spark, folder):
 
 def stopword_table(spark, folder):
     """Drop the tokens that occur in at least a tenth of all documents."""
-    texts = read_table(spark, folder, "documents").select("doc_id", F.lower("text").alias("text"))
+    texts = read_texts(spark, folder, "documents").select("doc_id", F.lower("text").alias("text"))
     total = texts.select(F.count("*").alias("n")).scalar()
     common = (
         texts.select("doc_id", F.explode(F.array_distinct(F.split("text", " "))).alias("token"))
@@ -223,7 +229,7 @@ def stopword_table(spark, folder):
 
 
 def mask_markup(spark, folder):
-    return read_table(spark, folder, "pages").select(
+    return read_texts(spark, folder, "pages").select(
         "page_id", text.mask_markup(F.col("html")).alias("out")
     )
 
@@ -232,7 +238,7 @@ def unicode_fix(spark, folder):
     """Garble every document by decoding its bytes wrongly, then repair it."""
     garbled = F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")
     return (
-        read_table(spark, folder, "documents")
+        read_texts(spark, folder, "documents")
         .select("doc_id", "text", garbled.alias("garbled"))
         .select(
             "doc_id",
@@ -247,7 +253,7 @@ def clean_text(spark, folder):
 
 
 def clean_documents(spark, folder):
-    documents = read_table(spark, folder, "documents")
+    documents = read_texts(spark, folder, "documents")
     return cleaning.clean(documents).select("doc_id", "prepped_text")
 
 
@@ -351,7 +357,7 @@ def ingest_ledger(spark, folder):
 
 def corpus_stats(spark, folder):
     staged = cleaning.clean_stages(
-        read_table(spark, folder, "documents"), "text", cleaning.MASKING_STEPS
+        read_texts(spark, folder, "documents"), "text", cleaning.MASKING_STEPS
     )
     return stats.corpus_stats(staged, ["start", *cleaning.MASKING_STEPS])
 
@@ -359,7 +365,7 @@ def corpus_stats(spark, folder):
 def _plain(spark, folder) -> DataFrame:
     """Documents in lower case without punctuation."""
     cleaned = cleaning.clean(
-        read_table(spark, folder, "documents"), steps=("case", "punctuation")
+        read_texts(spark, folder, "documents"), steps=("case", "punctuation")
     )
     return cleaned.select("doc_id", F.col("prepped_text").alias("text"))
 
@@ -436,7 +442,7 @@ def _model(spark, folder):
 
 
 def batch_score(spark, folder):
-    documents = read_table(spark, folder, "documents").select("doc_id", "text")
+    documents = read_texts(spark, folder, "documents").select("doc_id", "text")
     return score.batch_score(documents, _model(spark, folder))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -32,9 +33,12 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="postlens-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _folder_of_local_run()
+
+
+@cache
+def _folder_of_local_run() -> str:
+    return tempfile.mkdtemp(prefix="postlens-")
 
 
 def fresh_folder(spark: SparkSession, purpose: str) -> str:

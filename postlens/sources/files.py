@@ -13,6 +13,17 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def read_texts(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table whose rows are costly to process.
+
+    A table stored in fewer splits than there are cores would leave cores idle, so it is spread
+    over all of them. A table of more splits is left as it is and never shuffled here.
+    """
+    table = read_table(spark, folder, name)
+    cores = spark.sparkContext.defaultParallelism
+    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores)
+
+
 def read_lake(spark: SparkSession, root: str) -> DataFrame:
     return read_json(spark, root, schemas.LAKE)
 
