@@ -169,7 +169,7 @@ located as (select tweet_id, cos(radians(lat)) * cos(radians(lon)) as x,
  cos(radians(lat)) * sin(radians(lon)) as y, sin(radians(lat)) as z
  from posts where lat is not null and coalesce(country_code, '') = ''),
 ranked as (select tweet_id, min({{'d': round((l.x - s.x) * (l.x - s.x) + (l.y - s.y) * (l.y - s.y)
- + (l.z - s.z) * (l.z - s.z), 12), 'cc': s.cc}}) as best from located l, spots s group by tweet_id),
+ + (l.z - s.z) * (l.z - s.z), 14), 'cc': s.cc}}) as best from located l, spots s group by tweet_id),
 countries as (select p.tweet_id, coalesce(nullif(p.country_code, ''), r.best.cc) as country
  from posts p left join ranked r on r.tweet_id = p.tweet_id)"""
 
