@@ -2,33 +2,29 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
 from postlens import schemas
+from postlens.sources.files import CSV_OPTIONS, JSON_OPTIONS
 
-# Upper bound on rows per file, so that one large partition becomes many files.
-MAX_RECORDS_PER_FILE = 5_000_000
+# Upper bound on rows per file, so that one large partition becomes many files. A CSV file with
+# line breaks in its values is read by one task and stays smaller.
+MAX_RECORDS_PER_FILE = {"json": 5_000_000, "csv": 500_000}
 
 
 def write_lake(posts: DataFrame, root: str) -> None:
     wanted = posts.select("tweetInfo", *schemas.LAKE_PARTITIONS)
-    write_partitioned(wanted, root, "json", schemas.LAKE_PARTITIONS)
+    write_partitioned(wanted, root, "json", schemas.LAKE_PARTITIONS, JSON_OPTIONS)
 
 
 def write_raw_dataset(dataset: DataFrame, root: str) -> None:
-    write_partitioned(dataset, root, "json", ["brand", "created_at"])
+    write_partitioned(dataset, root, "json", ["brand", "created_at"], JSON_OPTIONS)
 
 
 def write_profiles(profiles: DataFrame, root: str) -> None:
-    write_partitioned(
-        profiles,
-        root,
-        "csv",
-        schemas.PROFILE_PARTITIONS,
-        {"header": "true", "escape": '"'},
-    )
+    write_partitioned(profiles, root, "csv", schemas.PROFILE_PARTITIONS, CSV_OPTIONS)
 
 
 def write_partitioned(
@@ -36,7 +32,7 @@ def write_partitioned(
     root: str,
     format: str,
     partitions: Sequence[str],
-    options: dict[str, str] | None = None,
+    options: Mapping[str, str],
 ) -> None:
     """Replace the partitions present in ``rows`` and keep all others.
 
@@ -46,9 +42,9 @@ def write_partitioned(
     (
         rows.hint("rebalance", *partitions)
         .write.format(format)
-        .options(**(options or {}))
+        .options(**options)
         .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE[format])
         .partitionBy(*partitions)
         .mode("overwrite")
         .save(root)

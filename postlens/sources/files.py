@@ -8,6 +8,17 @@ from pyspark.sql.types import StructType
 
 from postlens import schemas
 
+# Written and read alike, so that every value comes back as it was: quotes, line breaks and outer
+# blanks in CSV, microseconds in JSON.
+CSV_OPTIONS = {
+    "header": "true",
+    "escape": '"',
+    "multiLine": "true",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+JSON_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"}
+
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -29,11 +40,11 @@ def read_lake(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_json(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
-    return spark.read.schema(schema).json(root)
+    return spark.read.schema(schema).options(**JSON_OPTIONS).json(root)
 
 
 def read_csv(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).option("escape", '"').csv(root)
+    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(root)
 
 
 def in_partitions(

@@ -64,8 +64,18 @@ def test_window_is_half_open_and_pushed_down(spark, source, tmp_path):
     assert "GreaterThanOrEqual(created_at" in window._jdf.queryExecution().executedPlan().toString()
 
 
+def test_json_keeps_microseconds(spark, tmp_path):
+    moment = datetime(2024, 1, 2, 3, 4, 5, 678901)
+    rows = spark.createDataFrame(
+        [("b", "c", (1, " x\n", moment)), ("b", "c", (2, "y", datetime(2024, 1, 2)))],
+        "brand string, category string, tweetInfo struct<id:bigint,text:string,created_at:timestamp_ntz>")
+    write_lake(ingest.label_by_day(rows), str(tmp_path / "l"))
+    back = read_lake(spark, str(tmp_path / "l")).orderBy("tweetInfo.id").collect()
+    assert [tuple(r.tweetInfo) for r in back] == [(1, " x\n", moment), (2, "y", datetime(2024, 1, 2))]
+
+
 def test_csv_keeps_quotes_and_commas(spark, tmp_path):
-    row = ('"Suite 1", Main St', "A-", "c,d", "j", 'n"', "F", "u", "a || b", "2021-11-01")
+    row = ('"Suite 1",\n Main St ', "A-", "c,d", "j", 'n"', "F", "u", "a || b", "2021-11-01")
     names = "address, blood_group, company, job, name, sex, username, website, created_at".split(", ")
     rows = spark.createDataFrame([row], names)
     write_profiles(rows, str(tmp_path / "p"))
