@@ -11,7 +11,8 @@ from postlens.functions.text import is_retweet
 
 
 def drop_retweets(posts: DataFrame, text: str = "text") -> DataFrame:
-    return posts.where(~is_retweet(F.col(text)))
+    """A post without text is no retweet and stays."""
+    return posts.where(~F.coalesce(is_retweet(F.col(text)), F.lit(False)))
 
 
 def hash_sample(rows: DataFrame, key: str, fraction: float) -> DataFrame:

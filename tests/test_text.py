@@ -122,9 +122,9 @@ def test_email_after_email(apply):
 
 
 def test_retweets_are_dropped_only_on_request(spark):
-    rows = spark.createDataFrame([("RT a",), ("rt b",)], "text string")
-    assert clean(rows).count() == 2
-    assert [r.prepped_text for r in clean(rows, steps=ALL_STEPS).collect()] == ["rt b"]
+    rows = spark.createDataFrame([("RT a",), ("rt b",), (None,)], "text string")
+    assert clean(rows).count() == 3
+    assert [r.prepped_text for r in clean(rows, steps=ALL_STEPS).collect()] == ["rt b", None]
 
 
 def test_unknown_step(spark):
