@@ -372,7 +372,7 @@ from tokens left join common on common.token = tokens.token group by doc_id""",
     "corpus_stats": _corpus_stats(),
     "word_count": _word_counts(""),
     "word_count_top": _word_counts(f"order by n desc, word limit {q.TOP_WORDS}"),
-    "pipeline_counters": _posts(
+    "stage_counters": _posts(
         f"""unpivot (select count(*) as read, count(*) filter (where starts_with(text, 'RT')) as retweets,
  count(brand) as branded, count({DATE}) as dated, count(lat) as located
  from posts left join branded using (tweet_id)) on * into name counter value n""",

@@ -378,7 +378,7 @@ def word_count_top(spark, folder):
     return stats.top_words(_plain(spark, folder), TOP_WORDS)
 
 
-def pipeline_counters(spark, folder):
+def stage_counters(spark, folder):
     posts = derived.tagged_posts(spark, folder)
     found = brands.brand_of(F.col("hashtags"), F.col("rt_hashtag"), _tags(spark))
     return rows.count_stages(
@@ -488,7 +488,7 @@ QUERIES: dict[str, Query] = {
         corpus_stats,
         word_count,
         word_count_top,
-        pipeline_counters,
+        stage_counters,
         tfidf_terms,
         mentions_daily,
         tweet_enrich,
