@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm import lines, secrets
+from postlens.llm import lines, packing, secrets, simhash
 from postlens.llm.common import read
 
 
@@ -24,12 +25,24 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = lines.drop_shared_lines(read(spark, sf_dir, "documents", "doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES = {
     "op1_secrets": op1_secrets,
+    "op4_simhash": op4_simhash,
     "op8_line_dedup": op8_line_dedup,
+    "op9_packing": op9_packing,
 }
