@@ -113,7 +113,9 @@ def shared_lines(
         .agg(F.sum("docs").alias("docs"))
         .where(F.col("docs") >= min_docs)
     )
-    return lines, often.join(runs.lines(), HASH).select(*HASH, "top")
+    # Written, so that the join with all lines reads two plain shuffles and can split a hot line.
+    often.join(runs.lines(), HASH).select(*HASH, "top").write.parquet(f"{folder}/shared")
+    return lines, spark.read.parquet(f"{folder}/shared")
 
 
 def _mark_dropped(docs: DataFrame, min_chars: int, min_docs: int, batches: int) -> DataFrame:
