@@ -119,27 +119,32 @@ def shared_lines(
 
 
 def _mark_dropped(docs: DataFrame, min_chars: int, min_docs: int, batches: int) -> DataFrame:
-    """``docs`` with one more column, ``_gone``: the numbers of the lines to drop, or null."""
+    """``row``, each row of ``docs`` as a struct, and ``gone``, the numbers of its lines to drop.
+
+    Rows travel as one struct, so no column of theirs can clash with a name used here.
+    """
     ids = docs.select("doc_id", "text")
     lines, shared = shared_lines(docs.sparkSession, ids, min_chars, min_docs, batches)
     dropped = (
         lines.join(shared, HASH)
         .where(F.col("doc_id") < F.col("top"))
-        .groupBy(F.col("doc_id").alias("_doc"), F.col("row_id").alias("_row"))
-        .agg(F.collect_set("pos").alias("_gone"))
+        .groupBy("doc_id", "row_id")
+        .agg(F.collect_set("pos").alias("gone"))
+    )
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", _row_id(F.col("text")).alias("row_id")
     )
-    same = (docs["doc_id"] == dropped["_doc"]) & (_row_id(docs["text"]) == dropped["_row"])
-    return docs.join(dropped, same, "left").drop("_doc", "_row")
+    return rows.join(dropped, ["doc_id", "row_id"], "left").select("row", "gone")
 
 
 def _split(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n")
 
 
-def _kept(text: Column) -> Column:
-    left = F.array_except(F.sequence(F.lit(0), F.size(_split(text)) - 1), F.col("_gone"))
-    lines = F.transform(left, lambda i: F.get(F.col("_lines"), i))
-    return F.when(F.col("_gone").isNull(), F.coalesce(text, F.lit(""))).otherwise(F.array_join(lines, "\n"))
+def _kept(lines: Column, gone: Column) -> Column:
+    """``lines`` without those numbered in ``gone``, joined; in linear time."""
+    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
+    return F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")
 
 
 def drop_shared_lines(
@@ -156,11 +161,13 @@ def drop_shared_lines(
     one empty line. Rows with a null ``doc_id`` count for no key and keep all lines.
     """
     marked = _mark_dropped(docs.select("doc_id", "text"), min_chars, min_docs, batches)
-    return marked.withColumn("_lines", _split(F.col("text"))).select(
+    split = marked.select("row.doc_id", "row.text", "gone", _split(F.col("row.text")).alias("lines"))
+    changed = F.col("gone").isNotNull()
+    return split.select(
         "doc_id",
-        F.size("_lines").cast("long").alias("n_lines"),
-        F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).cast("long").alias("n_dropped"),
-        _kept(F.col("text")).alias("kept"),
+        F.size("lines").cast("long").alias("n_lines"),
+        F.when(changed, F.size("gone")).otherwise(0).cast("long").alias("n_dropped"),
+        F.when(changed, _kept(F.col("lines"), F.col("gone"))).otherwise(F.coalesce("text", F.lit(""))).alias("kept"),
     )
 
 
@@ -173,13 +180,13 @@ def without_shared_lines(
     """``docs`` with the kept lines as ``text``, by the rules of ``drop_shared_lines``.
 
     All rows and columns stay; ``n_chars``, where there is one, follows the text, and a text
-    without dropped lines stays as it is, null included. Column names that begin with ``_`` are
-    used here and may not be in ``docs``.
+    without dropped lines stays as it is, null included.
     """
-    marked = _mark_dropped(docs, min_chars, min_docs, batches).withColumn("_lines", _split(F.col("text")))
-    changed = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(_kept(F.col("text")))
-    out = marked.withColumn("text", changed)
+    marked = _mark_dropped(docs, min_chars, min_docs, batches)
+    text = F.col("row.text")
+    kept = F.when(F.col("gone").isNull(), text).otherwise(_kept(_split(text), F.col("gone")))
+    marked = marked.select("row", "gone", kept.alias("kept"))
+    new = {"text": F.col("kept")}
     if "n_chars" in docs.columns:
-        length = F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))
-        out = out.withColumn("n_chars", length)
-    return out.select(*docs.columns)
+        new["n_chars"] = F.when(F.col("gone").isNull(), F.col("row.n_chars")).otherwise(F.length("kept").cast("long"))
+    return marked.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
