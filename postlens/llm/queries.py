@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm import lines, packing, secrets, simhash
+from postlens.llm import langid, lines, packing, secrets, simhash
 from postlens.llm.common import read
 
 
@@ -30,6 +30,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(read(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = lines.drop_shared_lines(read(spark, sf_dir, "documents", "doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
@@ -43,6 +47,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op4_simhash": op4_simhash,
+    "op7_langid": op7_langid,
     "op8_line_dedup": op8_line_dedup,
     "op9_packing": op9_packing,
 }
