@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm import langid, lines, packing, secrets, simhash
+from postlens.llm import decontaminate, langid, lines, packing, secrets, simhash
 from postlens.llm.common import read
 
 
@@ -44,10 +44,16 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return decontaminate.contaminated(docs, read(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op4_simhash": op4_simhash,
     "op7_langid": op7_langid,
     "op8_line_dedup": op8_line_dedup,
     "op9_packing": op9_packing,
+    "op10_decontamination": op10_decontamination,
 }
