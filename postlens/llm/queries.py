@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm import decontaminate, langid, lines, packing, secrets, simhash
+from postlens.llm import decontaminate, html, langid, lines, packing, secrets, simhash
 from postlens.llm.common import read
 
 
@@ -25,6 +25,10 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(read(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"))
     return found.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
@@ -51,6 +55,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_secrets": op1_secrets,
+    "op2_html": op2_html,
     "op4_simhash": op4_simhash,
     "op7_langid": op7_langid,
     "op8_line_dedup": op8_line_dedup,
