@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm import decontaminate, html, langid, lines, packing, secrets, simhash
+from postlens.llm import decontaminate, html, langid, lines, packing, secrets, simhash, warc
 from postlens.llm.common import read
 
 
@@ -29,6 +29,11 @@ def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(read(spark, sf_dir, "pages", "page_id", "url", "html"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.round_trip(read(spark, sf_dir, "pages", "page_id", "url", "html"), with_payload=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "error")
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"))
     return found.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
@@ -56,6 +61,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_html": op2_html,
+    "op3_warc": op3_warc,
     "op4_simhash": op4_simhash,
     "op7_langid": op7_langid,
     "op8_line_dedup": op8_line_dedup,

@@ -80,4 +80,13 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM docs LEFT JOIN listed USING (r)
 """
 
-SQL = {"op1_secrets": SECRETS, "op8_line_dedup": LINES}
+ARCHIVE = r"""
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS p FROM pages),
+firsts AS (SELECT p, min(page_id) AS first FROM payloads WHERE octet_length(encode(p)) >= 100 GROUP BY p)
+SELECT page_id, octet_length(encode(p)) AS payload_bytes, sha256(p) AS payload_digest,
+       CASE WHEN first IS NULL OR page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to, NULL::VARCHAR AS error
+FROM payloads LEFT JOIN firsts USING (p)
+"""
+
+SQL = {"op1_secrets": SECRETS, "op3_warc": ARCHIVE, "op8_line_dedup": LINES}
