@@ -97,7 +97,8 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
     docs = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
     totals = docs.groupBy("lang").count()
     draw = F.pmod(F.xxhash64(F.lit("sample"), "doc_id", F.xxhash64("text")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    chosen = docs.join(totals, "lang").where(draw < F.lit(float(sample)) / F.col("count")).select("lang", "text")
+    # One row per language, far fewer than a model can have cost columns for; texts stay in place.
+    chosen = docs.join(F.broadcast(totals), "lang").where(draw < F.lit(float(sample)) / F.col("count")).select("lang", "text")
 
     def bytes_seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(256, np.int64)
