@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm import ann, decontaminate, html, langid, lines, packing, secrets, simhash, warc
+from postlens.llm import ann, decontaminate, html, langid, lines, mixing, packing, secrets, simhash, warc
 from postlens.llm.common import read
 
 
@@ -43,6 +43,10 @@ def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(read(spark, sf_dir, "embeddings", "vec_id", "embedding"), modulus=20)
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.score(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read(spark, sf_dir, "documents", "doc_id", "text", "lang"))
 
@@ -68,6 +72,7 @@ QUERIES = {
     "op3_warc": op3_warc,
     "op4_simhash": op4_simhash,
     "op5_ann": op5_ann,
+    "op6_mixing": op6_mixing,
     "op7_langid": op7_langid,
     "op8_line_dedup": op8_line_dedup,
     "op9_packing": op9_packing,
