@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -35,13 +37,20 @@ def parse_iso(text: Column) -> Column:
     return text.try_cast("timestamp_ntz")
 
 
-def format_iso(moment: Column) -> Column:
-    return F.date_format(moment, ISO_TIME)
+def moment(value: datetime) -> Column:
+    """A zone-free literal; through its text, because Python times pass the session zone."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
+def format_iso(time: Column) -> Column:
+    """Second precision. Formats the text of the zone-free time, which no session zone shifts."""
+    text = time.cast("timestamp_ntz").cast("string")
+    return F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8))
 
 
-def format_utc(moment: Column) -> Column:
+def format_utc(time: Column) -> Column:
     """Second precision with a ``Z`` suffix, as sources expect it in pushed filters."""
-    return F.concat(F.date_format(moment, ISO_TIME), F.lit("Z"))
+    return F.concat(format_iso(time), F.lit("Z"))
 
 
 def daily(first: Column, last: Column) -> Column:

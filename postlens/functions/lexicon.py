@@ -14,7 +14,8 @@ HASHTAG_MARK = " {{HASHTAG}}"
 URL_MARK = "{{URL}}"
 MARKUP_MARK = "{{MARKUP}}"
 
-# Common English stop words, plus one domain word.
+# The English stop words published with the Natural Language Toolkit (its corpus of
+# stop words is in the public domain), plus one domain word.
 STOP_WORDS = """
 i me my myself we our ours ourselves you you're you've you'll you'd your yours yourself yourselves
 he him his himself she she's her hers herself it it's its itself they them their theirs themselves

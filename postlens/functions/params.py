@@ -1,4 +1,4 @@
-"""Run parameters as JSON text: ``{start_dt, end_dt, brand}``."""
+"""Run parameters as JSON text: ``{start_dt, end_dt, brand, category}``; nulls are left out."""
 
 from __future__ import annotations
 
@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from postlens.functions.dates import format_iso, parse_iso
 
 
-def to_params(start: Column, end: Column, brand: Column) -> Column:
+def to_params(start: Column, end: Column, brand: Column, category: Column | None = None) -> Column:
     return F.to_json(
         F.struct(
             format_iso(start).alias("start_dt"),
             format_iso(end).alias("end_dt"),
             brand.alias("brand"),
+            (F.lit(None).cast("string") if category is None else category).alias("category"),
         )
     )
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from postlens.functions import lexicon
 
-WORD = r"a-z_0-9A-Z\p{L}\p{N}"
+WORD = r"\p{L}\p{N}_"
 SPACE = r"\t-\r\x1c-\x1f\x85\p{Z}"
 
 # A mail address may start where a run of local-part characters starts, or right after a match.

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from postlens import schemas
 from postlens.functions import params
+from postlens.functions.dates import moment
 
 RUNNING, SUCCESS, ERROR = "RUNNING", "SUCCESS", "ERROR"
 
@@ -38,24 +39,29 @@ class LedgerStore:
         entries.write.format(self.format).options(**self.options).mode("append").save()
 
 
-def successes(ledger: DataFrame, task: str, brand: str | None = None) -> DataFrame:
+def successes(
+    ledger: DataFrame, task: str, brand: str | None = None, category: str | None = None
+) -> DataFrame:
     wanted = (F.col("task_type") == task) & (F.col("run_status") == SUCCESS)
-    if brand is not None:
-        wanted &= params.param(F.col("source_query_param"), "brand") == brand
+    for name, value in (("brand", brand), ("category", category)):
+        if value is not None:
+            wanted &= params.param(F.col("source_query_param"), name) == value
     return ledger.where(wanted)
 
 
-def latest(ledger: DataFrame, task: str, brand: str | None = None) -> DataFrame:
-    """The last successful run of a task, and brand if given: one row, or none."""
+def latest(
+    ledger: DataFrame, task: str, brand: str | None = None, category: str | None = None
+) -> DataFrame:
+    """The last successful run of a task, brand and category, as far as given: one row, or none."""
     return (
-        successes(ledger, task, brand)
+        successes(ledger, task, brand, category)
         .orderBy(F.desc_nulls_last("run_started_at"), F.desc("run_id"))
         .limit(1)
     )
 
 
 def latest_of_all(ledger: DataFrame) -> DataFrame:
-    """The last successful run of every task and brand.
+    """The last successful run of every task, brand and category.
 
     A maximum over structs: nulls sort lowest, and one hot task is reduced before the shuffle.
     """
@@ -64,10 +70,11 @@ def latest_of_all(ledger: DataFrame) -> DataFrame:
     return (
         ledger.where(F.col("run_status") == SUCCESS)
         .groupBy(
-            "task_type", params.param(F.col("source_query_param"), "brand").alias("brand")
+            "task_type",
+            *[params.param(F.col("source_query_param"), n).alias(n) for n in ("brand", "category")],
         )
         .agg(F.max_by(F.struct(*fields), order).alias("run"))
-        .select("task_type", "brand", "run.*")
+        .select("task_type", "brand", "category", "run.*")
     )
 
 
@@ -85,9 +92,10 @@ def next_window(
     first_start: datetime,
     brand: str | None = None,
     length: timedelta = timedelta(days=1),
+    category: str | None = None,
 ) -> tuple[datetime, datetime]:
     """The window to process now; an empty ledger begins at ``first_start``."""
-    row = next_windows(latest(ledger, task, brand), length).select("start_dt", "end_dt").first()
+    row = next_windows(latest(ledger, task, brand, category), length).select("start_dt", "end_dt").first()
     if row is None:
         return first_start, first_start + length
     if row.start_dt is None:
@@ -102,11 +110,17 @@ def entry(spark: SparkSession, **fields) -> DataFrame:
     )
 
 
-def params_text(spark: SparkSession, start: datetime, end: datetime, brand: str | None) -> str:
+def params_text(
+    spark: SparkSession,
+    start: datetime,
+    end: datetime,
+    brand: str | None,
+    category: str | None = None,
+) -> str:
     """The run parameters of one window as JSON text."""
     window = spark.range(1).select(
         params.to_params(
-            F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz"), F.lit(brand)
+            moment(start), moment(end), F.lit(brand), F.lit(category)
         )
     )
     return window.first()[0]

@@ -12,6 +12,7 @@ POSTS = POSTS_SQL.replace("{S}", "varchar").replace("{FMT}", DUCKDB_FORMAT).form
     events="events", nation="nation", documents="documents"
 )
 
+# What counts as a word character, a blank, a mail address and so on.
 W = r"\p{L}\p{N}_"
 SPACE = r"\t-\r\x1c-\x1f\x{85}\p{Z}"
 EMAIL = rf"[{W}.+-]+@[{W}-]+(\.[{W}-]+)+"
@@ -243,16 +244,15 @@ def _lake_rows(select: str) -> str:
 
 
 def _ledger() -> str:
-    windows = ", ".join(
-        f"('run-{run}', timestamp '{q.FIRST_DAY + run * q.INGEST_LENGTH}', "
-        f"timestamp '{q.FIRST_DAY + (run + 1) * q.INGEST_LENGTH}')"
-        for run in range(q.INGEST_RUNS)
-    )
+    days = q.INGEST_LENGTH.days
+    start = f"timestamp '{q.FIRST_DAY}'"
     return _posts(
         """select run_id, run_status, strftime(s, '%Y-%m-%d') as start_day,
  strftime(e, '%Y-%m-%d') as end_day, case when run_status = 'SUCCESS' then n end as n_rows
  from counted, (values ('RUNNING'), ('SUCCESS')) as t(run_status)""",
-        f""", windows as (select * from (values {windows}) as w(run_id, s, e)),
+        f""", windows as (select 'run-' || i as run_id, {start} + to_days(cast(i * {days} as integer)) as s,
+  {start} + to_days(cast((i + 1) * {days} as integer)) as e
+  from range((select date_diff('day', {start}, max(ts)) // {days} + 1 from posts)) as w(i)),
  counted as (select run_id, s, e, (select count(*) from posts where ts >= s and ts < e) as n from windows)""",
     )
 
@@ -270,6 +270,12 @@ select {columns} from (select p.tweet_id,
  left join countries co using (tweet_id) join c{last} c using (tweet_id))"""
 
 
+QUARANTINE = _posts(
+    f"""select tweet_id, case when tweet_id % 53 = 0 then 'malformed'
+ when created_at is null then 'no date' when {DATE} is null then 'bad date' else 'usable' end as state
+ from posts"""
+)
+
 SQL: dict[str, str] = {
     "incremental_window": _posts(
         f"""select tweet_id, text, date '{q.WINDOW[1]}' as created_at from posts
@@ -286,8 +292,7 @@ SQL: dict[str, str] = {
     f"select doc_id, x as prepped_text from c{len(CHAIN)}",
     "raw_dataset": _lake_rows(
         f"""select tweet_id as id, text, 'Twitter' as source, category, brand, created_at from lake
- where category = 'click' and brand = '{q.BRAND}' and created_at >= date '{q.FIRST_DAY.date()}'
- and created_at < date '{(q.FIRST_DAY + q.INGEST_RUNS * q.INGEST_LENGTH).date()}'"""
+ where brand = '{q.BRAND}' and created_at >= date '{q.FIRST_DAY.date()}'"""
     ),
     "sql_over_views": _posts(
         """select brand, cast(ts as date) as day, count(*) as n
@@ -303,11 +308,7 @@ SQL: dict[str, str] = {
  case when ok then lon end as lon, case when ok then lat end as lat
  from (select *, tweet_id % 53 <> 0 as ok from posts)"""
     ),
-    "quarantine_split": _posts(
-        f"""select tweet_id, case when tweet_id % 53 = 0 then 'malformed'
- when created_at is null then 'no date' when {DATE} is null then 'bad date' else 'usable' end as state
- from posts"""
-    ),
+    "quarantine_split": QUARANTINE,
     "retweet_filter": _posts("select tweet_id, text from posts where not starts_with(text, 'RT')"),
     "hash_sample": _posts(
         """select tweet_id, text from posts
@@ -389,7 +390,10 @@ select doc_id, term, tf, round(idf, 6) as idf, round(tf * idf, 6) as tfidf from
         f", {BRANDED}",
     ),
     "tweet_enrich": _enriched(f"tweet_id, {', '.join(q.ENRICHED)}"),
+    "tweet_enrich_large": _enriched(f"tweet_id, {', '.join(q.ENRICHED)}"),
     "stream_enrich": _enriched(", ".join(q.ENRICHED)),
+    "stream_quarantine": f"""select state, {', '.join(f"case when state = 'usable' then {c} end as {c}" for c in q.ENRICHED)}
+ from (select tweet_id as id, state from ({QUARANTINE})) join ({_enriched(f"tweet_id, {', '.join(q.ENRICHED)}")}) on id = tweet_id""",
     "text_lower": _on_posts(lower("text")),
     "mask_email": _on_posts(mask_email("text")),
     "mask_handle": _on_posts(mask_handle("text")),

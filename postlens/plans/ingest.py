@@ -8,6 +8,7 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postlens.functions.dates import moment
 from postlens.operators import ledger as runs
 from postlens.sinks.files import write_lake, write_raw_dataset
 from postlens.sources.files import in_partitions, in_window, read_lake
@@ -15,9 +16,9 @@ from postlens.sources.files import in_partitions, in_window, read_lake
 DAY = timedelta(days=1)
 
 
-def label_by_day(posts: DataFrame, moment: str = "tweetInfo.created_at") -> DataFrame:
+def label_by_day(posts: DataFrame, time: str = "tweetInfo.created_at") -> DataFrame:
     """Partition each post by its own day."""
-    return posts.withColumn("created_at", F.col(moment).cast("date"))
+    return posts.withColumn("created_at", F.col(time).cast("date"))
 
 
 def extract_text(posts: DataFrame, source: str = "Twitter") -> DataFrame:
@@ -43,11 +44,8 @@ def ingest_next(
     """Copy the next window of ``source(brand, category, tweetInfo)`` into the lake."""
 
     def copy(start: datetime, end: datetime) -> int:
-        window = in_window(source, "tweetInfo.created_at", _literal(start), _literal(end))
-        write_lake(label_by_day(window), lake)
-        return in_partitions(
-            read_lake(spark, lake), None, None, _literal(start), _literal(end)
-        ).count()
+        window = in_window(source, "tweetInfo.created_at", moment(start), moment(end))
+        return write_lake(label_by_day(window), lake)
 
     return run_window(spark, store, task, run_id, first_start, copy, length=length, sink=lake)
 
@@ -64,16 +62,20 @@ def build_next_raw_dataset(
     first_start: datetime,
     length: timedelta = DAY,
 ) -> str:
-    """Extract the next window of one brand and category from the lake."""
+    """Extract the next window of one brand and category from the lake.
+
+    Brands and categories share a target and a task name: each pair has its own windows.
+    """
 
     def copy(start: datetime, end: datetime) -> int:
         wanted = in_partitions(
-            read_lake(spark, lake), category, brand, _literal(start), _literal(end)
+            read_lake(spark, lake), category, brand, moment(start), moment(end)
         )
-        write_raw_dataset(extract_text(wanted), target)
-        return wanted.count()
+        return write_raw_dataset(extract_text(wanted), target)
 
-    return run_window(spark, store, task, run_id, first_start, copy, brand, length, lake, target)
+    return run_window(
+        spark, store, task, run_id, first_start, copy, brand, category, length, lake, target
+    )
 
 
 def run_window(
@@ -84,6 +86,7 @@ def run_window(
     first_start: datetime,
     copy: Callable[[datetime, datetime], int],
     brand: str | None = None,
+    category: str | None = None,
     length: timedelta = DAY,
     source: str | None = None,
     sink: str | None = None,
@@ -93,14 +96,14 @@ def run_window(
     Windows are whole days, because a rerun replaces the day partitions it writes. A failed
     window is not skipped: it comes up again, since only successes move the ledger on.
     """
-    start, end = runs.next_window(store.read(spark), task, first_start, brand, length)
+    start, end = runs.next_window(store.read(spark), task, first_start, brand, length, category)
     if start.time() != datetime.min.time() or length % DAY or length <= timedelta(0):
         raise ValueError(f"the window {start} + {length} does not consist of whole days")
     common = {
         "run_started_at": _now(),
         "run_id": run_id,
         "task_type": task,
-        "source_query_param": runs.params_text(spark, start, end, brand),
+        "source_query_param": runs.params_text(spark, start, end, brand, category),
         "source": source,
         "sink": sink,
     }
@@ -120,9 +123,5 @@ def run_window(
     return runs.SUCCESS
 
 
-def _literal(moment: datetime):
-    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
-
-
 def _now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)

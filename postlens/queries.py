@@ -24,15 +24,16 @@ from postlens.sources.files import (
     read_table,
     read_texts,
 )
-from postlens.streaming.enrich import enrich_stream, write_stream
+from postlens.streaming.enrich import enrich_stream, run_enrichment, write_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # The days and ledger keys the queries ask for.
 WINDOW = ("2024-01-08", "2024-01-15")
 TASK, BRAND = "2-HIGH", "b1"
-FIRST_DAY, INGEST_LENGTH, INGEST_RUNS = datetime(2024, 1, 1), timedelta(days=10), 3
+FIRST_DAY, INGEST_LENGTH, RAW_LENGTH = datetime(2024, 1, 1), timedelta(days=10), timedelta(days=20)
 TOP_WORDS = 20
+# Columns of the enriched posts.
 ENRICHED = ["text", "brand", "country", "occurred_on", "prepped_text"]
 
 
@@ -50,8 +51,14 @@ def _moment(day: str) -> Column:
     return F.lit(day).cast("timestamp_ntz")
 
 
-def _tags(spark: SparkSession) -> dict[str, str]:
-    return brands.inline_tags(brands.brand_hashtags(brands.default_catalog(spark)))
+def _tags(spark: SparkSession, limit: int = brands.MAX_INLINE_TAGS) -> brands.Tags:
+    return brands.inline_tags(brands.brand_hashtags(brands.default_catalog(spark)), limit)
+
+
+def _runs(spark: SparkSession, folder: str, length: timedelta) -> range:
+    """As many windows as lead from the first day past the last post."""
+    last = derived.posts(spark, folder).agg(F.max("ts")).first()[0]
+    return range((last.date() - FIRST_DAY.date()) // length + 1)
 
 
 # Sources, sinks and projections
@@ -87,7 +94,7 @@ def partition_range_scan(spark, folder):
 def lake_csv_scan(spark, folder):
     root = fresh_folder(spark, "profiles")
     write_profiles(_reshaped(spark, folder), root)
-    return read_csv(spark, root, schemas.PROFILE)
+    return read_csv(spark, root, schemas.PROFILE, line_breaks=True)
 
 
 def parquet_roundtrip(spark, folder):
@@ -98,20 +105,23 @@ def parquet_roundtrip(spark, folder):
 
 
 def raw_dataset(spark, folder):
+    """All categories of one brand, under one task name, into one target."""
     lake, target = _lake(spark, folder), fresh_folder(spark, "raw")
     store = ledger.LedgerStore("parquet", {"path": fresh_folder(spark, "ledger")})
-    for run in range(INGEST_RUNS):
-        ingest.build_next_raw_dataset(
-            spark, store, lake, target, "raw", f"run-{run}", "click", BRAND, FIRST_DAY, INGEST_LENGTH
-        )
+    posts = read_lake(spark, lake).where(F.col("brand") == BRAND)
+    categories = sorted(row.category for row in posts.select("category").distinct().collect())
+    runs = _runs(spark, folder, RAW_LENGTH)
+    for category in categories:
+        for run in runs:
+            ingest.build_next_raw_dataset(
+                spark, store, lake, target, "raw", f"{category}-{run}", category, BRAND, FIRST_DAY, RAW_LENGTH
+            )
     return read_json(spark, target, schemas.RAW_DATASET)
 
 
 def sql_over_views(spark, folder):
     posts = derived.tagged_posts(spark, folder)
-    tagged = posts.withColumn(
-        "brand", brands.brand_of(F.col("hashtags"), F.col("rt_hashtag"), _tags(spark))
-    )
+    tagged = brands.detect_brand(posts, _tags(spark))
     return spark.sql(
         "select brand, cast(ts as date) as day, count(*) as n from {posts} group by 1, 2",
         posts=tagged,
@@ -124,6 +134,7 @@ def profile_reshape(spark, folder):
 
 def _reshaped(spark, folder):
     profiles = derived.profiles(spark, folder)
+    # Columns of a profile.
     return profiles.select(
         "address",
         "blood_group",
@@ -172,18 +183,14 @@ def brand_hashtags(spark, folder):
 
 
 def brand_detect(spark, folder):
-    posts = derived.tagged_posts(spark, folder)
-    found = brands.detect_brand(
-        posts, "tweet_id", "hashtags", "rt_hashtag", brands.default_catalog(spark)
-    )
+    found = brands.detect_brand(derived.tagged_posts(spark, folder), _tags(spark))
     return found.select("tweet_id", "brand")
 
 
 def brand_detect_large(spark, folder):
     mentions = derived.supplier_mentions(spark, folder)
     tags = brands.brand_hashtags(derived.supplier_catalog(spark, folder))
-    hits = brands.first_hits(mentions, "tweet_id", "hashtags", "rt_hashtag", tags)
-    return mentions.select("tweet_id").join(hits, "tweet_id", "left")
+    return brands.detect_brand(mentions, tags).select("tweet_id", "brand")
 
 
 def hashtag_union(spark, folder):
@@ -338,7 +345,7 @@ def ingest_ledger(spark, folder):
     """Ingest all posts window by window; one row per ledger entry."""
     lake, source = fresh_folder(spark, "lake"), derived.lake_posts(spark, folder)
     store = ledger.LedgerStore("parquet", {"path": fresh_folder(spark, "ledger")})
-    for run in range(INGEST_RUNS):
+    for run in _runs(spark, folder, INGEST_LENGTH):
         ingest.ingest_next(
             spark, store, source, lake, "ingest", f"run-{run}", FIRST_DAY, INGEST_LENGTH
         )
@@ -379,10 +386,8 @@ def word_count_top(spark, folder):
 
 
 def stage_counters(spark, folder):
-    posts = derived.tagged_posts(spark, folder)
-    found = brands.brand_of(F.col("hashtags"), F.col("rt_hashtag"), _tags(spark))
     return rows.count_stages(
-        posts.withColumn("brand", found),
+        brands.detect_brand(derived.tagged_posts(spark, folder), _tags(spark)),
         {
             "read": F.lit(True),
             "retweets": text.is_retweet(F.col("text")),
@@ -405,21 +410,27 @@ def tfidf_terms(spark, folder):
 
 def mentions_daily(spark, folder):
     """Posts per brand and day, straight from their JSON text."""
-    parsed = enrich.parse(derived.payloads(spark, folder))
-    found = brands.brand_of(F.col("hashtags"), F.col("rt_hashtag"), _tags(spark))
+    parsed = brands.detect_brand(enrich.parse(derived.payloads(spark, folder)), _tags(spark))
     return (
-        parsed.select(
-            found.alias("brand"), dates.partition_date(F.col("created_at")).alias("occurred_on")
-        )
+        parsed.select("brand", dates.partition_date(F.col("created_at")).alias("occurred_on"))
         .groupBy("brand", "occurred_on")
         .agg(F.count("*").alias("n"))
     )
 
 
-def tweet_enrich(spark, folder):
+def _enriched(spark, folder, tags):
     index = places.build_place_index(derived.nation_places(spark, folder))
     parsed = enrich.parse(derived.payloads(spark, folder), keep=("tweet_id",))
-    return enrich.enrich(parsed, _tags(spark), index).select("tweet_id", *ENRICHED)
+    return enrich.enrich(parsed, tags, index).select("tweet_id", *ENRICHED)
+
+
+def tweet_enrich(spark, folder):
+    return _enriched(spark, folder, _tags(spark))
+
+
+def tweet_enrich_large(spark, folder):
+    """The same with the catalog as a table, as if it were too large to inline."""
+    return _enriched(spark, folder, _tags(spark, limit=0))
 
 
 def _streamed(spark, folder, model=None):
@@ -437,6 +448,27 @@ def stream_enrich(spark, folder):
     return _streamed(spark, folder).select(*ENRICHED)
 
 
+def stream_quarantine(spark, folder):
+    """Payloads through the stream, with the catalog as a table: usable ones, and the others' reasons."""
+    source, sink = fresh_folder(spark, "payloads"), fresh_folder(spark, "enriched")
+    derived.payloads(spark, folder).select(F.col("value").cast("string")).write.text(source)
+    index = places.build_place_index(derived.nation_places(spark, folder))
+    run_enrichment(
+        stream_values(spark, "text", {"path": source}),
+        _tags(spark, limit=0),
+        index,
+        f"{sink}/good",
+        f"{sink}/state",
+        f"{sink}/bad",
+        available_now=True,
+    ).awaitTermination()
+    good = spark.read.parquet(f"{sink}/good").select(F.lit("usable").alias("state"), *ENRICHED)
+    bad = spark.read.parquet(f"{sink}/bad").select(
+        F.col("reason").alias("state"), *[F.lit(None).cast("string").alias(c) for c in ENRICHED]
+    )
+    return good.union(bad)
+
+
 def _model(spark, folder):
     return score.fit(derived.labelled_documents(spark, folder))
 
@@ -492,7 +524,9 @@ QUERIES: dict[str, Query] = {
         tfidf_terms,
         mentions_daily,
         tweet_enrich,
+        tweet_enrich_large,
         stream_enrich,
+        stream_quarantine,
         batch_score,
         stream_score,
     )

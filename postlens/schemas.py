@@ -6,16 +6,12 @@ from pyspark.sql import types as T
 
 _TAGS = T.ArrayType(T.MapType(T.StringType(), T.StringType()))
 
-# Payload of one post as JSON text.
+# The payload of one post as JSON text, as far as it is read.
 POST = T.StructType(
     [
         T.StructField("text", T.StringType()),
-        T.StructField("name", T.IntegerType()),
-        T.StructField("choice", T.StringType()),
-        T.StructField("place_choice", T.StringType()),
         T.StructField("created_at", T.StringType()),
         T.StructField("place", T.StructType([T.StructField("country_code", T.StringType())])),
-        T.StructField("user", T.StructType([T.StructField("handle", T.StringType())])),
         T.StructField("entities", T.StructType([T.StructField("hashtags", _TAGS)])),
         T.StructField(
             "coordinates",
@@ -29,7 +25,6 @@ POST = T.StructType(
                         "extended_tweet",
                         T.StructType(
                             [
-                                T.StructField("full_text", T.StringType()),
                                 T.StructField(
                                     "entities", T.StructType([T.StructField("hashtags", _TAGS)])
                                 ),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from functools import cache
@@ -9,13 +11,19 @@ from functools import cache
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = "*", memory: str = "8g", partitions: int = 8) -> SparkSession:
-    """A local session for tests and benchmarks; on a cluster the caller brings its own."""
+def local_session(
+    cores: int | str = "*", memory: str = "8g", partitions: int = 8, tasks: int = 8
+) -> SparkSession:
+    """A local session for tests and benchmarks; on a cluster the caller brings its own.
+
+    ``tasks`` is the number of tasks that tables of texts are dealt to (``sources.files.read_texts``).
+    """
     return (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("postlens")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(partitions))
+        .config("spark.postlens.tasks", str(tasks))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
@@ -38,7 +46,9 @@ def shared_folder(spark: SparkSession) -> str:
 
 @cache
 def _folder_of_local_run() -> str:
-    return tempfile.mkdtemp(prefix="postlens-")
+    folder = tempfile.mkdtemp(prefix="postlens-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def fresh_folder(spark: SparkSession, purpose: str) -> str:

@@ -8,12 +8,11 @@ from pyspark.sql.types import StructType
 
 from postlens import schemas
 
-# Written and read alike, so that every value comes back as it was: quotes, line breaks and outer
-# blanks in CSV, microseconds in JSON.
+# Written and read alike, so that every value comes back as it was: quotes and outer blanks in
+# CSV, microseconds in JSON.
 CSV_OPTIONS = {
     "header": "true",
     "escape": '"',
-    "multiLine": "true",
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
@@ -27,12 +26,12 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def read_texts(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A table whose rows are costly to process.
 
-    A table stored in fewer splits than there are cores would leave cores idle, so it is spread
-    over all of them. A table of more splits is left as it is and never shuffled here.
+    The setting ``spark.postlens.tasks`` deals it to so many tasks; ``session.local_session`` sets
+    it for small tables in one file. Elsewhere it is unset, and nothing is shuffled here.
     """
     table = read_table(spark, folder, name)
-    cores = spark.sparkContext.defaultParallelism
-    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores)
+    tasks = spark.conf.get("spark.postlens.tasks", None)
+    return table.repartition(int(tasks)) if tasks else table
 
 
 def read_lake(spark: SparkSession, root: str) -> DataFrame:
@@ -43,8 +42,12 @@ def read_json(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).options(**JSON_OPTIONS).json(root)
 
 
-def read_csv(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
-    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(root)
+def read_csv(
+    spark: SparkSession, root: str, schema: StructType, line_breaks: bool = False
+) -> DataFrame:
+    """With ``line_breaks`` values may hold them, and each file is read by one task."""
+    reader = spark.read.schema(schema).options(**CSV_OPTIONS)
+    return reader.option("multiLine", line_breaks).csv(root)
 
 
 def in_partitions(

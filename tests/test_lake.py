@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from postlens import schemas
+from postlens.functions import dates
 from postlens.operators import ledger
 from postlens.plans import ingest
 from postlens.sinks.files import write_lake, write_profiles
@@ -79,7 +80,8 @@ def test_csv_keeps_quotes_and_commas(spark, tmp_path):
     names = "address, blood_group, company, job, name, sex, username, website, created_at".split(", ")
     rows = spark.createDataFrame([row], names)
     write_profiles(rows, str(tmp_path / "p"))
-    assert read_csv(spark, str(tmp_path / "p"), schemas.PROFILE).select(*names).collect() == [row]
+    back = read_csv(spark, str(tmp_path / "p"), schemas.PROFILE, line_breaks=True)
+    assert back.select(*names).collect() == [row]
 
 
 def test_ingest_moves_on_by_success_only(spark, source, store, tmp_path):
@@ -123,6 +125,43 @@ def test_raw_dataset(spark, source, store, tmp_path):
     assert ledger.next_window(store.read(spark), "raw", FIRST, "b0") == (FIRST, FIRST + DAY)
 
 
+@pytest.mark.parametrize("tasks", [("raw", "raw"), ("raw-tv", "raw-phone")])
+def test_raw_dataset_keeps_categories(spark, source, store, tmp_path, tasks):
+    lake, target = str(tmp_path / "lake"), str(tmp_path / "raw")
+    posts = source.withColumn("brand", F.lit("b1")).withColumn(
+        "category", F.expr("if(tweetInfo.id % 2 = 0, 'tv', 'phone')"))
+    write_lake(ingest.label_by_day(posts), lake)
+    for task, category in zip(tasks, ("tv", "phone")):
+        for run in range(4):
+            ingest.build_next_raw_dataset(spark, store, lake, target, task, f"{category}{run}", category, "b1", FIRST)
+    rows = read_json(spark, target, schemas.RAW_DATASET).collect()
+    assert sorted(r.id for r in rows) == list(range(40))
+    assert {(r.category, r.id % 2) for r in rows} == {("tv", 0), ("phone", 1)}
+    assert sorted(n for status, n in statuses(spark, store) if status == "SUCCESS") == [5] * 8
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Kolkata", "America/New_York"])
+def test_ledger_text_is_free_of_zones(spark, source, tmp_path, zone):
+    store = ledger.LedgerStore("parquet", {"path": str(tmp_path / "ledger")})
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        # The second window holds the hour that one of the zones skips.
+        first = datetime(2024, 3, 9)
+        posts = source.withColumn("tweetInfo", F.struct(
+            "tweetInfo.id", "tweetInfo.text", F.expr("tweetInfo.created_at + make_dt_interval(68)").alias("created_at")))
+        for run in ("r0", "r1"):
+            ingest.ingest_next(spark, store, posts, str(tmp_path / "lake"), "t", run, first)
+        texts = store.read(spark).where("run_status = 'SUCCESS'").select("source_query_param", "n_rows").collect()
+        assert sorted(map(tuple, texts)) == [
+            ('{"start_dt":"2024-03-09T00:00:00","end_dt":"2024-03-10T00:00:00"}', 10),
+            ('{"start_dt":"2024-03-10T00:00:00","end_dt":"2024-03-11T00:00:00"}', 10)]
+        gap = spark.sql("select timestamp_ntz'2024-03-10 02:30:00' as t").select(dates.format_iso(F.col("t")))
+        assert gap.first()[0] == "2024-03-10T02:30:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_null_text_survives(spark, tmp_path):
     rows = spark.createDataFrame(
         [("b", "c", None), ("b", "c", (1, None, FIRST))],

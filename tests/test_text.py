@@ -20,7 +20,7 @@ GOLDEN = [
     (None, None),
 ]
 
-# The rules restated with Python's own regular expressions.
+# The masking rules, restated with Python's own regular expressions.
 RULES = [
     (r"[\w.+-]+@[\w-]+(\.[\w-]+)+", "{{EMAIL}}"),
     (r"(^|[^@\w])@(\w{1,15})\b", " {{HANDLE}}"),
