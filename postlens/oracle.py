@@ -270,6 +270,33 @@ select {columns} from (select p.tweet_id,
  left join countries co using (tweet_id) join c{last} c using (tweet_id))"""
 
 
+def _scored(ctes: str, texts: str, key: str, columns: str) -> str:
+    """Naive Bayes on TF-IDF of hashed words, learnt from all labelled documents.
+
+    ``texts`` holds ``key, x``; the text ``x`` may be null. ``columns`` read ``texts`` as ``t``.
+    """
+    chain = _chain("documents", "doc_id", "text", CHAIN, ctes)
+    return f"""{chain}, texts as materialized ({texts}),
+learn as (select doc_id, 1 - quality as label, x from c{len(CHAIN)} join labels using (doc_id) where x is not null),
+terms as (select doc_id, label, substr(md5(w), 1, 3) as b, count(*) as tf
+ from (select doc_id, label, unnest(list_filter(string_split(x, ' '), lambda w: w <> '')) as w from learn) group by all),
+n as (select count(*) as docs from learn),
+buckets as (select printf('%03x', i) as b from range(4096) as r(i)),
+idfs as (select b, ln((any_value(docs) + 1) / (count(distinct doc_id) + 1)) as idf
+ from buckets left join terms using (b), n group by b),
+classes as (select label, ln(count(*) + 1) as pi from learn group by label),
+weights as (select label, b, any_value(idf) as idf, coalesce(sum(tf * idf) filter (terms.label is not null), 0) as w
+ from (select label, b, idf from classes, idfs) left join terms using (label, b) group by label, b),
+thetas as (select label, b, idf, ln(w + 1) - ln(sum(w) over (partition by label) + 4096) as theta from weights),
+found as (select {key}, substr(md5(w), 1, 3) as b, count(*) as tf
+ from (select {key}, unnest(list_filter(string_split(x, ' '), lambda w: w <> '')) as w from texts) group by all),
+sums as (select {key}, label, sum(tf * idf * theta) as s from found join thetas using (b) group by all),
+best as (select {key}, arg_max(label, pi + coalesce(s, 0)) as label
+ from (select t.{key}, c.label, pi, s from texts t, classes c left join sums on sums.{key} = t.{key} and sums.label = c.label)
+ group by {key})
+select {columns}, cast(best.label as integer) as "Complaint" from texts t join best using ({key})"""
+
+
 QUARANTINE = _posts(
     f"""select tweet_id, case when tweet_id % 53 = 0 then 'malformed'
  when created_at is null then 'no date' when {DATE} is null then 'bad date' else 'usable' end as state
@@ -392,6 +419,18 @@ select doc_id, term, tf, round(idf, 6) as idf, round(tf * idf, 6) as tfidf from
     "tweet_enrich": _enriched(f"tweet_id, {', '.join(q.ENRICHED)}"),
     "tweet_enrich_large": _enriched(f"tweet_id, {', '.join(q.ENRICHED)}"),
     "stream_enrich": _enriched(", ".join(q.ENRICHED)),
+    "batch_score": _scored(
+        "",
+        f"select doc_id, text, x from c{len(CHAIN)} join documents using (doc_id)",
+        "doc_id",
+        't.doc_id, t.text as "Orig_text", t.x as text',
+    ),
+    "stream_score": _scored(
+        "",
+        f"select *, prepped_text as x from ({_enriched(f'tweet_id, {", ".join(q.ENRICHED)}')})",
+        "tweet_id",
+        ", ".join(f"t.{c}" for c in q.ENRICHED),
+    ),
     "stream_quarantine": f"""select state, {', '.join(f"case when state = 'usable' then {c} end as {c}" for c in q.ENRICHED)}
  from (select tweet_id as id, state from ({QUARANTINE})) join ({_enriched(f"tweet_id, {', '.join(q.ENRICHED)}")}) on id = tweet_id""",
     "text_lower": _on_posts(lower("text")),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
+from pyspark.ml.classification import NaiveBayes
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -470,7 +471,11 @@ def stream_quarantine(spark, folder):
 
 
 def _model(spark, folder):
-    return score.fit(derived.labelled_documents(spark, folder))
+    """Fitted on all labelled documents, saved, and loaded again."""
+    path = fresh_folder(spark, "model")
+    stages = score.pipeline(NaiveBayes(smoothing=1.0))
+    score.save(score.fit(derived.labelled_documents(spark, folder), stages), path)
+    return score.load(path)
 
 
 def batch_score(spark, folder):
