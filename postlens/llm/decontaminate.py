@@ -6,7 +6,8 @@ fingerprint of their shingles; fingerprints within ``RADIUS`` bits agree in one
 compared exactly: the sum of the smaller counts of their shingles over the sum of the larger ones.
 
 A window at the threshold shares that part of its shingles with the item, so windows with fewer
-shingles known from any item are passed over before they are fingerprinted; no pair is lost by it.
+shingles known from items of their length are passed over before they are fingerprinted; no pair
+is lost by it.
 
 Words are runs of letters and digits, in small letters, so punctuation and case hide no passage.
 """
@@ -32,7 +33,7 @@ RADIUS = 24
 # Items are compared in blocks of at most so many characters (or one item); each is sent to all tasks.
 BLOCK_CHARS = 4_000_000
 # Words whose hash a worker remembers.
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 250_000
 # A document is read in stretches of about so many characters.
 STRETCH = 1 << 20
 
@@ -82,6 +83,11 @@ def _bits(shingles: np.ndarray) -> np.ndarray:
     return np.unpackbits(shingles.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
 
 
+def _is_in(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are in ``known``, which is sorted and not empty."""
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
 class _Blocks:
     """Fingerprints by the value of each block; finds all within ``radius`` bits of another."""
 
@@ -111,7 +117,7 @@ class Items:
 
     def __init__(self, items: list[tuple[int, str]], similarity: float = SIMILARITY, radius: int = RADIUS):
         self.similarity = similarity
-        self.by_length: dict[tuple[int, int], tuple[list[int], list[Counter], _Blocks]] = {}
+        self.by_length: dict[tuple[int, int], tuple[list[int], list[Counter], _Blocks, np.ndarray]] = {}
         groups = defaultdict(list)
         for item_id, text in items:
             hashes = _hashes(_words(text))
@@ -121,7 +127,10 @@ class Items:
         for key, members in groups.items():
             prints = np.concatenate([_print_of(_bits(s).sum(0, dtype=np.int64), len(s)) for _, s in members])
             self.by_length[key] = (
-                [i for i, _ in members], [Counter(s.tolist()) for _, s in members], _Blocks(prints, radius)
+                [i for i, _ in members],
+                [Counter(s.tolist()) for _, s in members],
+                _Blocks(prints, radius),
+                np.unique(np.concatenate([s for _, s in members])),
             )
         self.longest = max((size + n - 1 for size, n in self.by_length), default=0)
         self.known = {
@@ -136,10 +145,7 @@ class Items:
     def _is_known(self, shingles: np.ndarray, size: int) -> np.ndarray:
         maybe = np.flatnonzero(self.sieve[size][shingles & np.uint64((1 << 20) - 1)])
         out = np.zeros(len(shingles), bool)
-        if len(maybe):
-            known = self.known[size]
-            at = np.minimum(np.searchsorted(known, shingles[maybe]), len(known) - 1)
-            out[maybe] = known[at] == shingles[maybe]
+        out[maybe] = _is_in(shingles[maybe], self.known[size])
         return out
 
     def search(self, text: str | None) -> dict[int, tuple[float, int, int]]:
@@ -168,11 +174,18 @@ class Items:
             at = end
 
     def _search(self, shingles: np.ndarray, known: np.ndarray, size: int, first: int, best: dict) -> None:
-        sums = np.concatenate([[0], np.cumsum(known)])
-        for (z, n), (ids, counts, blocks) in self.by_length.items():
-            if z != size or len(shingles) < n:
+        places = np.flatnonzero(known)
+        for (z, n), (ids, counts, blocks, own_known) in self.by_length.items():
+            least = math.ceil(self.similarity * n - 1e-9)
+            if z != size or len(shingles) < n or len(places) < least:
+                continue
+            mine = places[_is_in(shingles[places], own_known)]
+            if len(mine) < least:
                 continue
-            starts = np.flatnonzero(sums[n:] - sums[:-n] >= math.ceil(self.similarity * n - 1e-9))
+            sums = np.zeros(len(shingles) + 1, np.int64)
+            sums[mine + 1] = 1
+            sums = np.cumsum(sums)
+            starts = np.flatnonzero(sums[n:] - sums[:-n] >= least)
             for start in starts.tolist():
                 window = shingles[start : start + n]
                 fingerprint = _print_of(_bits(window).sum(0, dtype=np.int64), n)[0]

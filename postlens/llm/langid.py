@@ -14,7 +14,7 @@ the training texts to a symbol each, all others to one.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -60,12 +60,20 @@ def costs(counts: np.ndarray) -> np.ndarray:
     the shorter context is asked without the symbols that were seen here. A context never seen
     escapes for nothing. At the end all symbols not yet seen are equally likely.
     """
-    shape = (SYMBOLS,) * (ORDER + 1)
-    levels = [counts.reshape(shape).astype(np.float64)]
+    levels = [counts.reshape((SYMBOLS,) * (ORDER + 1)).astype(np.float64)]
     for _ in range(ORDER):
         levels.append(levels[-1].sum(axis=0))  # levels[i] has contexts of ORDER - i symbols
+    bits = np.empty(levels[0].shape, np.float32)
+    for first in range(SYMBOLS):  # one slice at a time, to save memory
+        bits[first] = _costs_after([levels[0][first], *levels[1:]])
+    return bits
+
+
+def _costs_after(levels: list[np.ndarray]) -> np.ndarray:
+    """The slice of ``costs`` for contexts that begin with one symbol."""
+    shape = levels[0].shape
     bits = np.zeros(shape)
-    open_ = np.ones(shape, bool)  # symbols that are not coded yet
+    uncoded = np.ones(shape, bool)
     refused = np.zeros(shape, bool)  # symbols seen in a longer context
     for counted in levels:
         here = np.broadcast_to(counted, shape) * ~refused
@@ -74,11 +82,11 @@ def costs(counts: np.ndarray) -> np.ndarray:
         with np.errstate(divide="ignore", invalid="ignore"):
             hit = np.log2(total + kinds) - np.log2(here)
             escape = np.where(total > 0, np.log2(total + kinds) - np.log2(kinds), 0.0)
-        bits += np.where(open_, np.where(seen, np.where(seen, hit, 0.0), escape), 0.0)
-        open_ &= ~seen
+        bits += np.where(uncoded, np.where(seen, np.where(seen, hit, 0.0), escape), 0.0)
+        uncoded &= ~seen
         refused |= seen
     left = (~refused).sum(-1, keepdims=True)
-    return bits + np.where(open_, np.log2(np.maximum(left, 1)), 0.0)
+    return bits + np.where(uncoded, np.log2(np.maximum(left, 1)), 0.0)
 
 
 def _fold(frequent: list[int]) -> np.ndarray:
@@ -133,7 +141,8 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
     return bytes(fold.astype(np.uint8)), langs, rows[:, np.lexsort(rows[1::-1])].tobytes()
 
 
-@cache
+# A worker keeps the table of the last model only.
+@lru_cache(maxsize=1)
 def _table(model: Model) -> tuple[np.ndarray, np.ndarray]:
     """``(fold, bits)``; ``bits[gram]`` has one column per language."""
     fold, langs, rows = model

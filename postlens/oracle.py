@@ -133,11 +133,15 @@ CHAIN = [
 ]
 
 
+def _name_of(column: str) -> str:
+    return column.split(" as ")[-1]
+
+
 def _chain(table: str, key: str, text: str, steps, ctes: str = "") -> str:
     """CTEs ``c0, c1, ...`` that apply ``steps`` one after the other; the last holds the result."""
     parts = [f"c0 as materialized (select {key}, {text} as x from {table})"]
     for i, (_, step) in enumerate(steps, 1):
-        parts.append(f"c{i} as materialized (select {key}, {step('x')} as x from c{i - 1})")
+        parts.append(f"c{i} as materialized (select {_name_of(key)}, {step('x')} as x from c{i - 1})")
     return f"with {ctes}{', '.join(parts)}"
 
 
@@ -223,13 +227,17 @@ def _word_counts(tail: str) -> str:
 
 
 def _corpus_stats() -> str:
-    names = ["start", *[name for name, _ in MASKING]]
+    chain = [("retweet", lambda x: f"case when not starts_with({x}, 'RT') then {x} end"), *CHAIN[:-1]]
+    # No given text is garbled: the repair step comes after the lemmas and changes nothing.
+    chain.insert(4, ("unicode", lambda x: x))
+    names = ["start", *[name for name, _ in chain]]
     steps = " union all ".join(
         f"select '{name}' as step, unnest(string_split(x, ' ')) as word from c{i}"
         for i, name in enumerate(names)
     )
+    texts = "(select text from documents union all select text from posts)"
     return (
-        f"{_chain('documents', 'doc_id', 'text', MASKING)} "
+        f"{_chain(texts, '1 as one', 'text', chain, f'posts as ({POSTS}), ')} "
         "select step, cast(count(*) as bigint) as total_words, count(distinct word) as unique_words "
         f"from ({steps}) group by step"
     )

@@ -364,10 +364,11 @@ def ingest_ledger(spark, folder):
 
 
 def corpus_stats(spark, folder):
-    staged = cleaning.clean_stages(
-        read_texts(spark, folder, "documents"), "text", cleaning.MASKING_STEPS
-    )
-    return stats.corpus_stats(staged, ["start", *cleaning.MASKING_STEPS])
+    """Words after every step of the chain, over documents and posts."""
+    texts = read_texts(spark, folder, "documents").select("text")
+    texts = texts.union(derived.posts(spark, folder).select("text"))
+    staged = cleaning.clean_stages(texts, "text", cleaning.ALL_STEPS)
+    return stats.corpus_stats(staged, ["start", *cleaning.ALL_STEPS])
 
 
 def _plain(spark, folder) -> DataFrame:
