@@ -46,13 +46,16 @@ def weighted_join(
     ``lookup[weight]`` is the number of ``facts`` rows of each key. The few keys with a share of
     at least ``hot_share`` are broadcast, a number bounded by ``1 / hot_share``; all others have
     no hot key and meet the lookup in a plain shuffle. Rows already served pass that shuffle
-    under ``SALTS`` keys that match nothing. ``facts`` appears once, so it is computed once.
+    under keys that match nothing, one for each value of ``spread``. ``facts`` appears once, so it
+    is computed once.
     """
     total = lookup.select(F.sum(weight).alias("total")).scalar()
     is_hot = F.col(weight) >= total * F.lit(hot_share)
     hot = lookup.where(is_hot).select(on, F.col(value).alias("_hot"), F.lit(True).alias("_served"))
-    cold = lookup.where(~is_hot).select(on, F.lit(0).cast("long").alias("_salt"), value)
-    salt = F.when(F.col("_served"), F.pmod(F.xxhash64(spread), F.lit(SALTS)) + 1).otherwise(0)
+    # Always 0, but no literal: the optimizer would make a filter of it and join on the key alone.
+    zero = F.pmod(F.col(weight).cast("long"), F.lit(1)).cast("long").alias("_salt")
+    cold = lookup.where(~is_hot).select(on, zero, value)
+    salt = F.when(F.col("_served"), F.xxhash64(spread)).otherwise(0)
     joined = (
         facts.join(F.broadcast(hot), on, "left")
         .withColumn("_salt", salt.cast("long"))

@@ -367,6 +367,9 @@ select event_id as tweet_id, brand from events left join hits on tweet_id = even
     "country_resolve": _posts(
         "select tweet_id, country from countries", f", {_nearest(CUSTOMER_PLACES)}"
     ),
+    "country_resolve_shuffle": _posts(
+        "select tweet_id, country from countries", f", {_nearest(CUSTOMER_PLACES)}"
+    ),
     "lemma_table": """with texts as (select doc_id, lower(text) as text from documents),
 tokens as (select doc_id, unnest(string_split(text, ' ')) as token,
  generate_subscripts(string_split(text, ' '), 1) as pos from texts),

@@ -204,7 +204,14 @@ def hashtag_union(spark, folder):
 def country_resolve(spark, folder):
     index = places.build_place_index(derived.customer_places(spark, folder))
     posts = derived.posts(spark, folder).select("tweet_id", "country_code", "lat", "lon")
-    return places.resolve_country(posts, index, spread="tweet_id").select("tweet_id", "country")
+    return places.resolve_country(posts, index).select("tweet_id", "country")
+
+
+def country_resolve_shuffle(spark, folder):
+    """The same with the index joined, as if it were too large to broadcast."""
+    index = places.build_place_index(derived.customer_places(spark, folder))
+    posts = derived.posts(spark, folder).select("tweet_id", "country_code", "lat", "lon")
+    return places.resolve_country(posts, index, max_broadcast=0).select("tweet_id", "country")
 
 
 def lemma_table(spark, folder):
@@ -508,6 +515,7 @@ QUERIES: dict[str, Query] = {
         brand_detect_large,
         hashtag_union,
         country_resolve,
+        country_resolve_shuffle,
         lemma_table,
         stopword_table,
         mask_markup,
