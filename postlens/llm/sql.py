@@ -16,29 +16,31 @@ SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone)
 FROM marked GROUP BY r
 """
 
+ASSIGN = (
+    "([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]"
+    "|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])"
+    r"""["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+)
+
 # Spans: the n-th match starts after the first n gaps and n - 1 matches; a window's entropy is
 # summed afresh from its own characters.
 SECRETS = r"""
-WITH kinds(kind, rank, pattern, least, grp) AS (VALUES
-  ('assign', 0, '([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 6, 2),
-  ('access', 1, '(AKIA[A-Z0-9]+)', 20, 1),
-  ('hex', 2, '([0-9a-f]+)', 24, 1),
-  ('run', 3, '([A-Za-z0-9+/_=-]+)', 20, 1)),
+WITH kinds(kind, rank, least) AS (VALUES ('assign', 0, 6), ('access', 1, 20), ('hex', 2, 24), ('run', 3, 20)),
 docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 hits AS (
   SELECT r, kind, rank, least,
     unnest(CASE kind
-      WHEN 'assign' THEN regexp_extract_all(text, '([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)')
+      WHEN 'assign' THEN regexp_extract_all(text, '{assign}')
       WHEN 'access' THEN regexp_extract_all(text, 'AKIA[A-Z0-9]+')
       WHEN 'hex' THEN regexp_extract_all(text, '[0-9a-f]+')
       ELSE regexp_extract_all(text, '[A-Za-z0-9+/_=-]+') END) AS m,
     unnest(CASE kind
-      WHEN 'assign' THEN string_split_regex(text, '([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)')
+      WHEN 'assign' THEN string_split_regex(text, '{assign}')
       WHEN 'access' THEN string_split_regex(text, 'AKIA[A-Z0-9]+')
       WHEN 'hex' THEN string_split_regex(text, '[0-9a-f]+')
       ELSE string_split_regex(text, '[A-Za-z0-9+/_=-]+') END) AS gap,
     generate_subscripts(string_split_regex(text, CASE kind
-      WHEN 'assign' THEN '([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)'
+      WHEN 'assign' THEN '{assign}'
       WHEN 'access' THEN 'AKIA[A-Z0-9]+' WHEN 'hex' THEN '[0-9a-f]+' ELSE '[A-Za-z0-9+/_=-]+' END), 1) AS i
   FROM docs, kinds),
 placed AS (
@@ -78,7 +80,7 @@ listed AS (
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
        coalesce(n_hex, 0) AS n_hex, sha256(coalesce(b, '')) AS base_sha256, coalesce(f, '') AS spans
 FROM docs LEFT JOIN listed USING (r)
-"""
+""".replace("{assign}", ASSIGN)
 
 ARCHIVE = r"""
 WITH payloads AS (SELECT page_id, coalesce(html, '') AS p FROM pages),
