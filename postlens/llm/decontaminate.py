@@ -33,7 +33,7 @@ RADIUS = 24
 # Items are compared in blocks of at most so many characters (or one item); each is sent to all tasks.
 BLOCK_CHARS = 4_000_000
 # Words whose hash a worker remembers.
-KNOWN_WORDS = 250_000
+KNOWN_WORDS = 100_000
 # A document is read in stretches of about so many characters.
 STRETCH = 1 << 20
 
