@@ -21,15 +21,15 @@ from pyspark.sql import functions as F
 from postlens.session import fresh_folder
 
 NEAREST = 20
-DEGREE = 24
-ROUNDS = 3
-SAMPLE = 12  # neighbours, and again nodes it is a neighbour of, that a node brings together
-OFFERS = 8  # best comparisons a node gets from one meeting
+DEGREE = 32
+ROUNDS = 5
+SAMPLE = 20  # neighbours, and again nodes it is a neighbour of, that a node brings together
+OFFERS = 12  # best comparisons a node gets from one meeting
 CHUNK = 96  # vectors compared all with all at the start
 ORDERS = 3  # times they are dealt into chunks
 PLANES = 16
-BEAM = 64
-EXPAND = 12
+BEAM = 200
+EXPAND = 40
 ENTRIES = 16  # nodes at which every query looks, besides its own start
 
 LINKS = "array<struct<v:long,s:float>>"
