@@ -14,7 +14,6 @@ the training texts to a symbol each, all others to one.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -141,10 +140,21 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
     return bytes(fold.astype(np.uint8)), langs, rows[:, np.lexsort(rows[1::-1])].tobytes()
 
 
-# A worker keeps the table of the last model only.
-@lru_cache(maxsize=1)
+# The model a worker used last, and its table.
+_LAST: list = [None, None]
+
+
 def _table(model: Model) -> tuple[np.ndarray, np.ndarray]:
     """``(fold, bits)``; ``bits[gram]`` has one column per language."""
+    if _LAST[0] is not model:
+        if _LAST[0] != model:
+            _LAST[:] = None, None  # free the old table first
+            _LAST[1] = _build(model)
+        _LAST[0] = model
+    return _LAST[1]
+
+
+def _build(model: Model) -> tuple[np.ndarray, np.ndarray]:
     fold, langs, rows = model
     rows = np.frombuffer(rows, np.int64).reshape(3, -1)
     bits = np.empty((SYMBOLS ** (ORDER + 1), len(langs)), np.float32)

@@ -28,8 +28,8 @@ SEQUENCE = 2048
 END_ID = 1
 # Pieces in a group, on average; a group is packed by one task.
 GROUP = 2048
-# Words whose ids a Python worker remembers, and the longest such word in bytes: about 120 MB.
-KNOWN_WORDS = 600_000
+# Words whose ids a Python worker remembers, and the longest such word in bytes: about 50 MB.
+KNOWN_WORDS = 250_000
 KNOWN_BYTES = 64
 
 # Letters, then signs; without the apostrophe, which may begin a piece of its own with letters, and
