@@ -9,6 +9,9 @@ A window at the threshold shares that part of its shingles with the item, so win
 shingles known from items of their length are passed over before they are fingerprinted; no pair
 is lost by it.
 
+A text of fewer shingles than an item is one window itself, if it can reach the threshold. Such a
+text is compared with every item that holds enough of its shingles, without fingerprints.
+
 Words are runs of letters and digits, in small letters, so punctuation and case hide no passage.
 """
 
@@ -118,6 +121,7 @@ class Items:
     def __init__(self, items: list[tuple[int, str]], similarity: float = SIMILARITY, radius: int = RADIUS):
         self.similarity = similarity
         self.by_length: dict[tuple[int, int], tuple[list[int], list[Counter], _Blocks, np.ndarray]] = {}
+        self.holders: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
         groups = defaultdict(list)
         for item_id, text in items:
             hashes = _hashes(_words(text))
@@ -132,6 +136,9 @@ class Items:
                 _Blocks(prints, radius),
                 np.unique(np.concatenate([s for _, s in members])),
             )
+            flat = np.concatenate([s for _, s in members])
+            order = np.argsort(flat)
+            self.holders[key] = flat[order], np.repeat(np.arange(len(members), dtype=np.int32), key[1])[order]
         self.longest = max((size + n - 1 for size, n in self.by_length), default=0)
         self.known = {
             size: np.unique(np.concatenate([s for (z, _), ms in groups.items() if z == size for _, s in ms]))
@@ -151,24 +158,26 @@ class Items:
     def search(self, text: str | None) -> dict[int, tuple[float, int, int]]:
         """Per item at the threshold: its best similarity, first such window and words of it."""
         best: dict[int, tuple[float, int, int]] = {}
-        for start, words in self._stretches(text):
+        for start, words, whole in self._stretches(text):
             hashes = _hashes(words)
             for size in self.known:
                 shingles = _shingles(hashes, size)
                 known = self._is_known(shingles, size)
                 if known.any():
                     self._search(shingles, known, size, start, best)
+                    if whole:
+                        self._compare_whole(shingles, known, size, best)
         return best
 
-    def _stretches(self, text: str | None) -> Iterator[tuple[int, list[str]]]:
-        """``(number of the first word, words)``; a stretch overlaps the last by one window less a word."""
+    def _stretches(self, text: str | None) -> Iterator[tuple[int, list[str], bool]]:
+        """``(number of the first word, words, whether they are all of the text)``; a stretch overlaps the last by one window less a word."""
         text = text or ""
         at, first, tail = 0, 0, []
         while at < len(text) and self.longest:
             blank = _BLANK.search(text, at + STRETCH) if len(text) - at > STRETCH else None
             end = blank.start() if blank else len(text)
             words = tail + _words(text[at:end])
-            yield first, words
+            yield first, words, not first and end == len(text)
             tail = words[len(words) - min(len(words), self.longest - 1) :]
             first += len(words) - len(tail)
             at = end
@@ -197,6 +206,23 @@ class Items:
                     if similarity >= self.similarity and similarity > best.get(ids[i], (0.0, 0, 0))[0]:
                         best[ids[i]] = (similarity, first + start, n + size - 1)
 
+    def _compare_whole(self, shingles: np.ndarray, known: np.ndarray, size: int, best: dict) -> None:
+        """Compare a whole text with the items that have more shingles than it."""
+        m, own = len(shingles), Counter(shingles.tolist())
+        found, values = int(known.sum()), np.fromiter(own, np.uint64, len(own))
+        for (z, n), (ids, counts, _, _) in self.by_length.items():
+            least = math.ceil(self.similarity * n - 1e-9)
+            if z != size or m >= n or found < least:
+                continue
+            held, holder = self.holders[z, n]
+            from_, to = np.searchsorted(held, values, "left"), np.searchsorted(held, values, "right")
+            met = np.concatenate([holder[a:b] for a, b in zip(from_, to)])
+            for i in np.flatnonzero(np.bincount(met, minlength=len(ids)) >= least).tolist():
+                shared = sum((own & counts[i]).values())
+                similarity = shared / (m + n - shared)
+                if similarity >= self.similarity and similarity > best.get(ids[i], (0.0, 0, 0))[0]:
+                    best[ids[i]] = (similarity, 0, m + size - 1)
+
 
 def item_blocks(benchmark: DataFrame, chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int, str]]]:
     """The items of ``item_id, text`` in blocks of about ``chars`` characters, one block at a time."""
@@ -254,7 +280,8 @@ def contaminated(
     """One row per row of ``doc_id, text`` and item that a window of it reaches ``similarity`` with.
 
     ``doc_id, item_id, similarity, start, n_words``: of the best window, the first of equals, with
-    the number of its first word and its length in words. Items of fewer than five words are one
+    the number of its first word and its length in words. A text of fewer shingles than an item is
+    the one window for it. Items of fewer than five words are one
     shingle of all their words. Null texts, items without words and rows without ``item_id`` match
     nothing; null and repeated ids of documents stay as they are.
     """

@@ -84,3 +84,36 @@ def test_blocks_find_all_within_radius():
         blocks = dc._Blocks(prints, radius)
         for p in prints[:20] ^ rng.integers(0, 1 << 12, 20, dtype=np.uint64):
             assert blocks.near(p).tolist() == [i for i, q in enumerate(prints) if (int(p) ^ int(q)).bit_count() <= radius]
+
+
+def plain_short(text, item):
+    """Similarity of a whole text that is shorter than the item."""
+    a, b = (re.findall(r"[^\W_]+", t.lower()) for t in (text, item))
+    a, b = (Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4)) for w in (a, b))
+    return sum((a & b).values()) / sum((a | b).values()) if a else 0.0
+
+
+def test_texts_shorter_than_an_item(spark, monkeypatch):
+    rng = random.Random(9)
+    items = [(i, " ".join(rng.choice("abcdefghijkl") + str(rng.randrange(9)) for _ in range(n))) for i, n in enumerate([9, 12, 30, 50, 50, 60])]
+    items += [(6, items[3][1] + " tail"), (7, "x y z v w " * 8), (8, "one two three")]
+    docs = []
+    for _, item in items:
+        words = item.split()
+        for cut in (1, 2, 3, 5, 8, 9, 10, 11):
+            docs += [words[:-cut], words[cut:], words[cut // 2 : cut // 2 - cut], words[: len(words) // 2] + words[len(words) // 2 + cut :]]
+    docs = [(i, " ".join(w)) for i, w in enumerate(docs)]
+    want = {(d, i, round(s, 9), 0, len(text.split())) for d, text in docs for i, item in items
+            if len(text.split()) < len(item.split()) and (s := plain_short(text, item)) >= 0.8}
+    assert len(want) > 60 and max(s for _, _, s, *_ in want) > 0.97
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = dc.contaminated(table, bench).collect()
+    got = {(r.doc_id, r.item_id, round(r.similarity, 9), r.start, r.n_words) for r in rows}
+    assert sorted(got) == sorted(want | set(plain(docs, items)))
+    kept = {r.doc_id for r in dc.without_contaminated(table, bench).collect()}
+    assert kept == {d for d, _ in docs} - {d for d, *_ in got}
+    index = dc.Items(items)
+    whole = [index.search(t) for _, t in docs]
+    monkeypatch.setattr(dc, "STRETCH", 40)
+    assert [index.search(t) for _, t in docs] == whole
