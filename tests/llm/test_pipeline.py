@@ -7,7 +7,7 @@ import corpus_pipeline
 from postlens.llm import langid
 
 from tests.llm.test_lines import plain as plain_lines
-from tests.llm.test_simhash import plain_components
+from tests.llm.test_near import plain as plain_near
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -50,7 +50,7 @@ def test_stages(spark):
     assert sorted((r.doc_id, r.text) for r in lined.collect()) == sorted((d, t) for d, _, _, t in plain_lines(before))
 
     before = [(r.doc_id, r.text) for r in lined.collect()]
-    want = {c for _, _, c in plain_components(before)}
+    want = {least for _, least in plain_near(before)}
     assert {r.doc_id for r in single.collect()} == want and single.count() == len(want) < len(before)
 
     items = [words(r.text) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
