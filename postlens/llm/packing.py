@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from postlens.llm.common import sole_holder
 from postlens.llm.words import words
 from postlens.session import fresh_folder
 
@@ -114,6 +115,7 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = SEQUENCE) -> DataFrame:
     schema = pa.schema([(n, pa.int64()) for n in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")])
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sole_holder("packing", _tokens.cache_clear)
         tokens = _tokens(tokenizer)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
