@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm import ann, decontaminate, html, langid, lines, mixing, packing, repair, secrets, simhash, warc
+from postlens.llm import ann, decontaminate, html, langid, lines, mixing, packing, repair, secrets, simhash, trie, warc
 from postlens.llm.common import read
 
 
@@ -66,6 +66,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(docs, read(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
 def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
     return repair.repair(repair.damage(turns), turns)
@@ -82,5 +86,6 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_packing": op9_packing,
     "op10_decontamination": op10_decontamination,
+    "op11_trie": op11_trie,
     "op12_repair": op12_repair,
 }
