@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm import ann, decontaminate, html, langid, lines, mixing, packing, repair, secrets, simhash, trie, warc
+from postlens.llm import ann, decontaminate, html, langid, lines, mixing, packing, quotas, repair, secrets, simhash, trie, warc
 from postlens.llm.common import read
 
 
@@ -75,6 +75,10 @@ def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair(repair.damage(turns), turns)
 
 
+def op13_quotas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotas.mix(read(spark, sf_dir, "documents", "doc_id", "text", "source"))
+
+
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_html": op2_html,
@@ -88,4 +92,5 @@ QUERIES = {
     "op10_decontamination": op10_decontamination,
     "op11_trie": op11_trie,
     "op12_repair": op12_repair,
+    "op13_quotas": op13_quotas,
 }
