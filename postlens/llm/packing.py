@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from postlens.llm.common import sole_holder
+from postlens.llm.common import free_memory, sole_holder
 from postlens.llm.words import words
 from postlens.session import fresh_folder
 
@@ -29,8 +29,8 @@ SEQUENCE = 2048
 END_ID = 1
 # Pieces in a group, on average; a group is packed by one task.
 GROUP = 2048
-# Words whose ids a Python worker remembers, and the longest such word in bytes: about 50 MB.
-KNOWN_WORDS = 250_000
+# Words whose ids a Python worker remembers, and the longest such word in bytes: about 25 MB.
+KNOWN_WORDS = 120_000
 KNOWN_BYTES = 64
 
 # Letters, then signs; without the apostrophe, which may begin a piece of its own with letters, and
@@ -118,8 +118,9 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = SEQUENCE) -> DataFrame:
         sole_holder("packing", _tokens.cache_clear)
         tokens = _tokens(tokenizer)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            free_memory()
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
                 ids = tokens.packed(part["text"].to_pylist())
                 rows = [piece for doc_id, own in zip(part["doc_id"].to_pylist(), ids) for piece in cut(doc_id, own, size)]
                 yield pa.RecordBatch.from_arrays(
