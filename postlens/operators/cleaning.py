@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlens.functions import lexicon, text as T
+from postlens.operators import phrases
 from postlens.operators.rows import drop_retweets
 
 ALL_STEPS = (
@@ -36,12 +37,21 @@ MASKING_STEPS = ("case", "email", "username", "hashtags", "url", "markup", "punc
 
 @dataclass(frozen=True)
 class Lexicon:
-    """Dictionaries used by the chain."""
+    """Dictionaries used by the chain: small ones inlined, others as tables of any size.
 
-    stop_words: Iterable[str] = tuple(lexicon.STOP_WORDS)
-    contractions: Mapping[str, str] = field(default_factory=lambda: lexicon.CONTRACTIONS)
-    emoji: Mapping[str, str] = field(default_factory=lambda: lexicon.EMOJI)
-    lemmas: Mapping[str, str] = field(default_factory=lambda: lexicon.LEMMAS)
+    A table has the columns ``phrase, replacement`` (stop words: ``phrase``). Its entries may have
+    several words; matches are taken from the left, the longest first.
+    """
+
+    stop_words: Iterable[str] | DataFrame = tuple(lexicon.STOP_WORDS)
+    contractions: Mapping[str, str] | DataFrame = field(default_factory=lambda: lexicon.CONTRACTIONS)
+    emoji: Mapping[str, str] | DataFrame = field(default_factory=lambda: lexicon.EMOJI)
+    lemmas: Mapping[str, str] | DataFrame = field(default_factory=lambda: lexicon.LEMMAS)
+
+    def table(self, step: str) -> DataFrame | None:
+        """The dictionary of a step, if it is a table."""
+        used = {"stopwords": self.stop_words, "contractions": self.contractions, "emoji": self.emoji, "lemmatization": self.lemmas}
+        return used[step] if isinstance(used.get(step), DataFrame) else None
 
 
 def clean(
@@ -57,7 +67,9 @@ def clean(
         output, F.col(text)
     )
     for step in chosen:
-        if step != "retweet":
+        if (table := words.table(step)) is not None:
+            cleaned = _rewritten(step, cleaned, output, table)
+        elif step != "retweet":
             cleaned = cleaned.withColumn(output, _apply(step, F.col(output), words))
     return cleaned.withColumn(output, T.squeeze_space(F.col(output)))
 
@@ -66,6 +78,8 @@ def clean_stages(
     posts: DataFrame, text: str, steps: Iterable[str] = DEFAULT_STEPS, words: Lexicon = Lexicon()
 ) -> DataFrame:
     """Like ``clean``, but keeps the text after every step as ``start`` and one column per step."""
+    if any(words.table(step) is not None for step in ALL_STEPS):
+        raise ValueError("the texts after each step are kept for inlined dictionaries only")
     staged, previous = posts.withColumn("start", F.col(text)), "start"
     for step in _checked(steps):
         if step == "retweet":
@@ -84,6 +98,23 @@ def _checked(steps: Iterable[str]) -> list[str]:
     return [step for step in ALL_STEPS if step in asked]
 
 
+def _rewritten(step: str, rows: DataFrame, output: str, table: DataFrame) -> DataFrame:
+    """A step by its dictionary table."""
+    match step:
+        case "contractions":
+            straight = lambda segment: F.replace(segment, F.lit("’"), F.lit("'"))
+            return phrases.rewrite_phrases(rows, output, table, phrases.by_words, straight)
+        case "emoji":
+            named = table.select("phrase", F.concat(F.lit(":"), "replacement", F.lit(":")).alias("replacement"))
+            return phrases.rewrite_phrases(rows, output, named, phrases.by_symbols)
+        case "stopwords":
+            words = F.array_join(T.words(F.col(output)), " ")
+            dropped = table.select("phrase", F.lit(None).cast("string").alias("replacement"))
+            return phrases.rewrite_phrases(rows.withColumn(output, words), output, dropped).withColumn(output, words)
+        case _:
+            return phrases.rewrite_phrases(rows, output, table)
+
+
 def _apply(step: str, value: Column, words: Lexicon) -> Column:
     match step:
         case "case":
