@@ -219,6 +219,64 @@ def _plain() -> str:
     return _chain("documents", "doc_id", "text", [("", lower), ("", strip_punct), ("", squeeze)])
 
 
+def _phrase_step(name: str, source: str, cut: str, dictionary: str, lengths: tuple[int, ...]) -> str:
+    """CTEs that rewrite the phrases of ``dictionary`` in ``source(doc_id, x)``; the last is ``name``.
+
+    ``cut`` makes segments of ``x``; a phrase has as many segments as one of ``lengths``. The phrase
+    at each place is the longest, and every chosen one leads to the next that does not overlap it.
+    """
+    starts = " union all ".join(
+        f"select doc_id, p, {n} as n, "
+        + " || ".join(["s", *(f"lead(s, {i}) over (partition by doc_id order by p)" for i in range(1, n))])
+        + f" as phrase from {name}_at"
+        for n in lengths
+    )
+    return f"""{name}_at as materialized (select doc_id, unnest({cut}) as s, unnest(range(1, len({cut}) + 1)) as p
+ from {source} where x is not null),
+{name}_dict as materialized (select phrase, max(replacement) as r from ({dictionary}) group by phrase),
+{name}_met as materialized (select doc_id, p, arg_max(n, n) as n, arg_max({{'r': r}}, n) as r
+ from ({starts}) join {name}_dict using (phrase) group by doc_id, p),
+{name}_next as materialized (select m.doc_id, m.p, m.n, m.r, f.p as q from {name}_met m
+ asof left join {name}_met f on m.doc_id = f.doc_id and m.p + m.n <= f.p),
+{name}_taken as (select doc_id, p, n, r, q from {name}_next
+  where (doc_id, p) in (select doc_id, min(p) from {name}_met group by doc_id)
+ union all select f.doc_id, f.p, f.n, f.r, f.q from {name}_taken t join {name}_next f on f.doc_id = t.doc_id and f.p = t.q),
+{name}_parts as (select a.doc_id, a.p, case when t.p = a.p then coalesce(t.r.r, '') when a.p < t.p + t.n then '' else a.s end as part
+ from {name}_at a asof left join {name}_taken t on a.doc_id = t.doc_id and a.p >= t.p),
+{name} as materialized (select s.doc_id, case when s.x is not null then coalesce(j.x, '') end as x from {source} s left join
+ (select doc_id, string_agg(part, '' order by p) as x from {name}_parts group by doc_id) j on j.doc_id = s.doc_id)"""
+
+
+def _lexicon_tables() -> str:
+    word = "'^[a-z]{2,}$'"
+    spaced = "regexp_extract_all(x, '[^ ]+| ')"
+    runs = _text(rf"[{W}'’]+|[^{W}'’]+")
+    steps = [
+        _phrase_step(
+            "contracted", "lowered", f"regexp_extract_all(x, {runs})",
+            "select a || ' ' || b as phrase, a || '_' || b as replacement from neighbours where (length(a) + length(b)) % 5 = 0", (3,),
+        ),
+        _phrase_step(
+            "lemmatized", "contracted", spaced,
+            """select a || ' ' || b as phrase, a as replacement from neighbours where (length(a) + length(b)) % 11 = 0 union all
+ select a || ' ' || b || ' ' || c, b from neighbours where c is not null and (length(a) + length(b) + length(c)) % 7 = 0""",
+            (3, 5),
+        ),
+        f"plain as (select doc_id, array_to_string({words('x')}, ' ') as x from lemmatized)",
+        _phrase_step(
+            "dropped", "plain", spaced,
+            "select a || ' ' || b as phrase, cast(null as varchar) as replacement from neighbours where (length(a) + length(b)) % 8 = 0", (3,),
+        ),
+    ]
+    return f"""with recursive lowered as materialized (select doc_id, lower(text) as x from documents),
+tokens as (select string_split(x, ' ') as t from lowered),
+triples as (select t[i] as a, t[i + 1] as b, t[i + 2] as c from (select t, unnest(range(1, len(t) + 1)) as i from tokens)),
+neighbours as materialized (select a, b, case when regexp_matches(c, {word}) then c end as c from triples
+ where regexp_matches(a, {word}) and regexp_matches(b, {word})),
+{", ".join(steps)}
+select doc_id, {squeeze(strip_punct(f"array_to_string({words('x')}, ' ')"))} as prepped_text from dropped"""
+
+
 def _word_counts(tail: str) -> str:
     return (
         f"{_plain()} select word, count(*) as n from "
@@ -389,6 +447,7 @@ from tokens left join common on common.token = tokens.token group by doc_id""",
     "unicode_fix": "select doc_id, text as repaired, text as untouched from documents",
     "clean_text": f"{_chain('posts', 'tweet_id', 'text', CHAIN, f'posts as ({POSTS}), ')} "
     f"select tweet_id, x as prepped_text from c{len(CHAIN)}",
+    "clean_lexicon_tables": _lexicon_tables(),
     "clean_documents": f"{_chain('documents', 'doc_id', 'text', CHAIN)} "
     f"select doc_id, x as prepped_text from c{len(CHAIN)}",
     "label_code": """select doc_id, cast(case when quality = 1 then 1 when toxic = 0 then 0 end as integer) as code

@@ -272,6 +272,33 @@ def clean_documents(spark, folder):
     return cleaning.clean(documents).select("doc_id", "prepped_text")
 
 
+def _neighbours(spark, folder) -> DataFrame:
+    """Every lower-case word of the documents with the two tokens after it."""
+    tokens = F.split(F.lower("text"), " ")
+    texts = read_texts(spark, folder, "documents").select(tokens.alias("t"))
+    runs = F.transform("t", lambda w, i: F.struct(w.alias("a"), F.get("t", i + 1).alias("b"), F.get("t", i + 2).alias("c")))
+    word = "^[a-z]{2,}$"
+    return texts.select(F.inline(runs)).where(F.col("a").rlike(word) & F.col("b").rlike(word)).withColumn(
+        "c", F.when(F.col("c").rlike(word), F.col("c"))
+    )
+
+
+def clean_lexicon_tables(spark, folder):
+    """The chain with dictionaries of phrases that grow with the data: pairs and triples of words."""
+    runs = _neighbours(spark, folder)
+    pair, triple = F.concat_ws(" ", "a", "b"), F.concat_ws(" ", "a", "b", "c")
+    length = F.length("a") + F.length("b")
+    contractions = runs.where(length % 5 == 0).select(pair.alias("phrase"), F.concat("a", F.lit("_"), "b").alias("replacement"))
+    lemmas = runs.where(length % 11 == 0).select(pair.alias("phrase"), F.col("a").alias("replacement")).union(
+        runs.where(F.col("c").isNotNull() & ((length + F.length("c")) % 7 == 0)).select(triple.alias("phrase"), F.col("b").alias("replacement"))
+    )
+    stop_words = runs.where(length % 8 == 0).select(pair.alias("phrase"))
+    words = cleaning.Lexicon(stop_words.distinct(), contractions.distinct(), lemmas=lemmas.distinct())
+    steps = ("case", "contractions", "lemmatization", "stopwords", "punctuation")
+    cleaned = cleaning.clean(read_texts(spark, folder, "documents").select("doc_id", "text"), steps=steps, words=words)
+    return cleaned.select("doc_id", "prepped_text")
+
+
 def label_code(spark, folder):
     answer = F.when(F.col("quality") == 1, "Yes").when(F.col("toxic") == 0, "No")
     return (
@@ -522,6 +549,7 @@ QUERIES: dict[str, Query] = {
         unicode_fix,
         clean_text,
         clean_documents,
+        clean_lexicon_tables,
         label_code,
         iso_times,
         date_spine,
