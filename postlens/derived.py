@@ -6,7 +6,7 @@ every document is the whole text of one of them. ``POSTS_SQL`` is one text for b
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlens import schemas
@@ -152,6 +152,29 @@ def supplier_catalog(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def supplier_catalog_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """The supplier catalog as it was at the start and after two changes.
+
+    With the first change every third supplier takes over its successor's tag and every fifth drops
+    out; with the second, nations' tags go.
+    """
+    key = F.col("position")
+    rows = supplier_catalog(spark, folder)
+    tags = F.filter("platforms", lambda p: p["name"] == "Twitter")
+    successor = F.array(F.concat(F.lit("#S"), (key + 1).cast("string")))
+
+    def version(since: str | None, active: Column, own) -> DataFrame:
+        platforms = F.transform(tags, lambda p: p.withField("hashtags", own(p["hashtags"])))
+        return rows.select("position", active.alias("active"), "name", platforms.alias("platforms"), F.lit(since).cast("timestamp_ntz").alias("valid_from"))
+
+    taken = lambda own: F.when(key % 3 == 0, successor).otherwise(own)
+    return (
+        version(None, F.col("active"), lambda own: own)
+        .union(version("2024-01-11 06:30:00", F.col("active") & (key % 5 != 2), taken))
+        .union(version("2024-01-21", F.col("active"), lambda own: F.filter(own, lambda t: ~t.startswith("#N"))))
+    )
+
+
 def supplier_mentions(spark: SparkSession, folder: str) -> DataFrame:
     """Posts that mention suppliers: an unknown tag, a supplier's, then a nation's."""
 
@@ -161,6 +184,7 @@ def supplier_mentions(spark: SparkSession, folder: str) -> DataFrame:
     user, post = F.col("user_id"), F.col("tweet_id")
     return posts(spark, folder).select(
         "tweet_id",
+        "ts",
         F.when(
             post % 5 != 0, F.array(tag(F.lit("x"), post), tag(F.lit("S"), user))
         ).alias("hashtags"),

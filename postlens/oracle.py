@@ -416,6 +416,18 @@ SQL: dict[str, str] = {
  union all select event_id, 2, 'n' || (event_id % 25) from events where event_id % 2 = 0),
 hits as (select tweet_id, arg_min(brand, pos) as brand from mentions join supplier_tags using (tag) group by 1)
 select event_id as tweet_id, brand from events left join hits on tweet_id = event_id""",
+    "brand_detect_asof": """with versions as (
+ select s_suppkey, s_name, v, unnest(case when v = 1 and s_suppkey % 3 = 0 then ['s' || (s_suppkey + 1)]
+   when v = 2 then ['s' || s_suppkey, 's' || s_suppkey || 'support']
+   else ['s' || s_suppkey, 's' || s_suppkey || 'support', 'n' || s_nationkey] end) as tag
+ from supplier, (values (0), (1), (2)) as t(v)
+ where s_suppkey % 10 <> 7 and s_suppkey % 4 <> 1 and s_suppkey % 6 <> 5 and (v <> 1 or s_suppkey % 5 <> 2)),
+mentions as (
+ select event_id, ts, 1 as pos, 's' || user_id as tag from events where event_id % 5 <> 0
+ union all select event_id, ts, 2, 'n' || (event_id % 25) from events where event_id % 2 = 0),
+hits as (select event_id, arg_min(s_name, pos * 1000000000 - s_suppkey) as brand from mentions join versions using (tag)
+ where v = case when ts < timestamp '2024-01-11 06:30:00' then 0 when ts < timestamp '2024-01-21' then 1 else 2 end group by 1)
+select e.event_id as tweet_id, brand from events e left join hits h on e.event_id = h.event_id""",
     "hashtag_union": _posts(
         """select tweet_id, array_to_string(list_transform(kept, lambda s: regexp_replace(lower(s), '^#', '')), ' ')
  as tags from (select tweet_id, [s for s, i in raw if s is not null

@@ -194,6 +194,12 @@ def brand_detect_large(spark, folder):
     return brands.detect_brand(mentions, tags).select("tweet_id", "brand")
 
 
+def brand_detect_asof(spark, folder):
+    """Brands by the catalog as it was when the post was written; it changed twice in the month."""
+    versions = brands.catalog_versions(derived.supplier_catalog_versions(spark, folder))
+    return brands.detect_brand_asof(derived.supplier_mentions(spark, folder), versions, "ts").select("tweet_id", "brand")
+
+
 def hashtag_union(spark, folder):
     tags = hashtags.all_tags(F.col("hashtags"), F.col("rt_hashtag"))
     return derived.tagged_posts(spark, folder).select(
@@ -540,6 +546,7 @@ QUERIES: dict[str, Query] = {
         brand_hashtags,
         brand_detect,
         brand_detect_large,
+        brand_detect_asof,
         hashtag_union,
         country_resolve,
         country_resolve_shuffle,
