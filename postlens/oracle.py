@@ -369,6 +369,13 @@ QUARANTINE = _posts(
  from posts"""
 )
 
+
+def _quarantined(states: str = QUARANTINE) -> str:
+    columns = ", ".join(f"case when state = 'usable' then {c} end as {c}" for c in q.ENRICHED)
+    return f"""select state, {columns}
+ from (select tweet_id as id, state from ({states})) join ({_enriched(f"tweet_id, {', '.join(q.ENRICHED)}")}) on id = tweet_id"""
+
+
 SQL: dict[str, str] = {
     "incremental_window": _posts(
         f"""select tweet_id, text, date '{q.WINDOW[1]}' as created_at from posts
@@ -513,8 +520,12 @@ select doc_id, term, tf, round(idf, 6) as idf, round(tf * idf, 6) as tfidf from
         "tweet_id",
         ", ".join(f"t.{c}" for c in q.ENRICHED),
     ),
-    "stream_quarantine": f"""select state, {', '.join(f"case when state = 'usable' then {c} end as {c}" for c in q.ENRICHED)}
- from (select tweet_id as id, state from ({QUARANTINE})) join ({_enriched(f"tweet_id, {', '.join(q.ENRICHED)}")}) on id = tweet_id""",
+    "stream_quarantine": _quarantined(),
+    "stream_manifest": _quarantined(),
+    "stream_distinct": _quarantined(
+        f"""select tweet_id, case when state = 'usable' and tweet_id % 12 = 0 and ts < timestamp '{q.PARTS[0]}' then 'late'
+ else state end as state from ({QUARANTINE}) join (select event_id as tweet_id, ts from events) using (tweet_id)"""
+    ),
     "text_lower": _on_posts(lower("text")),
     "mask_email": _on_posts(mask_email("text")),
     "mask_handle": _on_posts(mask_handle("text")),

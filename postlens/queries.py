@@ -25,7 +25,7 @@ from postlens.sources.files import (
     read_table,
     read_texts,
 )
-from postlens.streaming.enrich import enrich_stream, run_enrichment, write_stream
+from postlens.streaming.enrich import Distinct, batch_log, enrich_stream, run_enrichment, write_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +34,7 @@ WINDOW = ("2024-01-08", "2024-01-15")
 TASK, BRAND = "2-HIGH", "b1"
 FIRST_DAY, INGEST_LENGTH, RAW_LENGTH = datetime(2024, 1, 1), timedelta(days=10), timedelta(days=20)
 TOP_WORDS = 20
+PARTS, DELAY = ("2024-01-11", "2024-01-21"), timedelta(days=5)
 # Columns of the enriched posts.
 ENRICHED = ["text", "brand", "country", "occurred_on", "prepped_text"]
 
@@ -490,25 +491,62 @@ def stream_enrich(spark, folder):
     return _streamed(spark, folder).select(*ENRICHED)
 
 
-def stream_quarantine(spark, folder):
-    """Payloads through the stream, with the catalog as a table: usable ones, and the others' reasons."""
-    source, sink = fresh_folder(spark, "payloads"), fresh_folder(spark, "enriched")
-    derived.payloads(spark, folder).select(F.col("value").cast("string")).write.text(source)
+def _enriched_by_batch(spark, folder, source: str, distinct=None):
+    """The committed batches of a stream of payloads, with the catalog as a table."""
+    sink = fresh_folder(spark, "enriched")
     index = places.build_place_index(derived.nation_places(spark, folder))
     run_enrichment(
-        stream_values(spark, "text", {"path": source}),
+        stream_values(spark, "text", {"path": source, "maxFilesPerTrigger": "1"} if distinct else {"path": source}),
         _tags(spark, limit=0),
         index,
         f"{sink}/good",
         f"{sink}/state",
         f"{sink}/bad",
         available_now=True,
+        distinct=distinct,
     ).awaitTermination()
-    good = spark.read.parquet(f"{sink}/good").select(F.lit("usable").alias("state"), *ENRICHED)
-    bad = spark.read.parquet(f"{sink}/bad").select(
-        F.col("reason").alias("state"), *[F.lit(None).cast("string").alias(c) for c in ENRICHED]
+    return batch_log(spark, f"{sink}/good"), f"{sink}/good", f"{sink}/bad"
+
+
+def _good_and_bad(good: DataFrame, bad: DataFrame) -> DataFrame:
+    return good.select(F.lit("usable").alias("state"), *ENRICHED).union(
+        bad.select(F.col("reason").alias("state"), *[F.lit(None).cast("string").alias(c) for c in ENRICHED])
     )
-    return good.union(bad)
+
+
+def stream_quarantine(spark, folder):
+    """Payloads through the stream, with the catalog as a table: usable ones, and the others' reasons."""
+    source = fresh_folder(spark, "payloads")
+    derived.payloads(spark, folder).select(F.col("value").cast("string")).write.text(source)
+    _, good, bad = _enriched_by_batch(spark, folder, source)
+    return _good_and_bad(spark.read.parquet(good), spark.read.parquet(bad))
+
+
+def stream_manifest(spark, folder):
+    """The same by manifests, with folders of a batch that never was committed beside them."""
+    source = fresh_folder(spark, "payloads")
+    derived.payloads(spark, folder).select(F.col("value").cast("string")).write.text(source)
+    log, good, bad = _enriched_by_batch(spark, folder, source)
+    half = spark.read.parquet(f"{good}/batch=0")
+    half.write.parquet(f"{good}/batch=999")
+    return _good_and_bad(log.read("good", half.schema), log.read("bad", "value string, reason string"))
+
+
+def stream_distinct(spark, folder):
+    """Posts in three files by time; the second holds each tenth post of the first again, and each
+    twelfth that belongs in the first comes with the third, too late."""
+    source = fresh_folder(spark, "payloads")
+    payloads = derived.payloads(spark, folder).join(derived.posts(spark, folder).select("tweet_id", "ts"), "tweet_id")
+    first = F.col("ts") < _moment(PARTS[0])
+    last = F.col("ts") >= _moment(PARTS[1])
+    late = first & (F.col("tweet_id") % 12 == 0)
+    again = first & ~late & (F.col("tweet_id") % 10 == 0)
+    for wanted in (first & ~late, (~first & ~last) | again, last | late):
+        # One file a batch, each later than the one before.
+        payloads.where(wanted).select(F.col("value").cast("string")).coalesce(1).write.mode("append").text(source)
+    log, good, _ = _enriched_by_batch(spark, folder, source, Distinct(DELAY))
+    posts = log.read("good", spark.read.parquet(f"{good}/batch=0").schema)
+    return _good_and_bad(posts, log.read("bad", "value string, reason string"))
 
 
 def _model(spark, folder):
@@ -576,6 +614,8 @@ QUERIES: dict[str, Query] = {
         tweet_enrich_large,
         stream_enrich,
         stream_quarantine,
+        stream_manifest,
+        stream_distinct,
         batch_score,
         stream_score,
     )
