@@ -15,6 +15,8 @@ from postlens.functions import params
 from postlens.functions.dates import moment
 
 RUNNING, SUCCESS, ERROR = "RUNNING", "SUCCESS", "ERROR"
+# The answer to a driver that came second; never a status in the ledger.
+CLAIMED = "CLAIMED"
 
 
 @dataclass(frozen=True)

@@ -309,13 +309,14 @@ def _lake_rows(select: str) -> str:
     )
 
 
-def _ledger() -> str:
+def _ledger(more: str = "") -> str:
     days = q.INGEST_LENGTH.days
     start = f"timestamp '{q.FIRST_DAY}'"
     return _posts(
         """select run_id, run_status, strftime(s, '%Y-%m-%d') as start_day,
  strftime(e, '%Y-%m-%d') as end_day, case when run_status = 'SUCCESS' then n end as n_rows
- from counted, (values ('RUNNING'), ('SUCCESS')) as t(run_status)""",
+ from counted, (values ('RUNNING'), ('SUCCESS')) as t(run_status)"""
+        + more,
         f""", windows as (select 'run-' || i as run_id, {start} + to_days(cast(i * {days} as integer)) as s,
   {start} + to_days(cast((i + 1) * {days} as integer)) as e
   from range((select date_diff('day', {start}, max(ts)) // {days} + 1 from posts)) as w(i)),
@@ -486,6 +487,14 @@ from tokens left join common on common.token = tokens.token group by doc_id""",
     "next_window": f"""with {RUNS}, {LATEST} select task_type, brand, strftime(end_dt, {ISO}) as start_dt,
  strftime(end_dt + interval 1 day, {ISO}) as end_dt from latest""",
     "ingest_ledger": _ledger(),
+    "ingest_claims": _ledger(
+        """ union all select replace(run_id, 'run', 'second'), 'CLAIMED', strftime(s, '%Y-%m-%d'),
+ strftime(e, '%Y-%m-%d'), null from counted"""
+    ),
+    "ingest_late_rows": _lake_rows(
+        """select category, brand, created_at, count(*) as n, count(*) filter (where tweet_id % 23 <> 0) as n_before
+ from lake group by category, brand, created_at"""
+    ),
     "corpus_stats": _corpus_stats(),
     "word_count": _word_counts(""),
     "word_count_top": _word_counts(f"order by n desc, word limit {q.TOP_WORDS}"),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from postlens import derived, schemas
 from postlens.functions import dates, hashtags, params, text
-from postlens.operators import brands, cleaning, ledger, lexicon, places, rows, stats
+from postlens.operators import brands, claims, cleaning, ledger, lexicon, places, rows, stats
 from postlens.plans import enrich, ingest, score
 from postlens.session import fresh_folder
 from postlens.sinks.files import write_lake, write_parquet, write_profiles
@@ -391,8 +391,12 @@ def ingest_ledger(spark, folder):
         ingest.ingest_next(
             spark, store, source, lake, "ingest", f"run-{run}", FIRST_DAY, INGEST_LENGTH
         )
+    return _ledger_days(store.read(spark))
+
+
+def _ledger_days(entries: DataFrame) -> DataFrame:
     query = F.col("source_query_param")
-    return store.read(spark).select(
+    return entries.select(
         "run_id",
         "run_status",
         F.date_format(params.start_of(query), "yyyy-MM-dd").alias("start_day"),
@@ -401,6 +405,43 @@ def ingest_ledger(spark, folder):
     )
 
 
+def ingest_claims(spark, folder):
+    """Two drivers ingest all posts; each comes while the other copies a window, and is turned away."""
+    lake, source = fresh_folder(spark, "lake"), derived.lake_posts(spark, folder)
+    store = ledger.LedgerStore("parquet", {"path": fresh_folder(spark, "ledger")})
+    root = fresh_folder(spark, "claims")
+    drivers = [claims.Claims(spark, root, owner=name) for name in ("a", "b")]
+    refused = []
+    for run in _runs(spark, folder, INGEST_LENGTH):
+        first, second = drivers[run % 2], drivers[1 - run % 2]
+
+        def copy(start: datetime, end: datetime) -> int:
+            status = ingest.ingest_next(spark, store, source, lake, "ingest", f"second-{run}", FIRST_DAY, INGEST_LENGTH, second)
+            refused.append((f"second-{run}", status, f"{start:%Y-%m-%d}", f"{end:%Y-%m-%d}"))
+            window = in_window(source, "tweetInfo.created_at", dates.moment(start), dates.moment(end))
+            return write_lake(ingest.label_by_day(window), lake)
+
+        ingest.run_window(spark, store, "ingest", f"run-{run}", FIRST_DAY, copy, length=INGEST_LENGTH, claims=first)
+    turned_away = spark.createDataFrame(refused, "run_id string, run_status string, start_day string, end_day string")
+    return _ledger_days(store.read(spark)).unionByName(turned_away, allowMissingColumns=True)
+
+
+def ingest_late_rows(spark, folder):
+    """Posts of every 23rd user come after their windows succeeded: rows per partition once copied again."""
+    lake, source = fresh_folder(spark, "lake"), derived.lake_posts(spark, folder)
+    late = F.col("tweetInfo.id") % 23 == 0
+    store = ledger.LedgerStore("parquet", {"path": fresh_folder(spark, "ledger")})
+    for run in _runs(spark, folder, INGEST_LENGTH):
+        ingest.ingest_next(spark, store, source.where(~late), lake, "ingest", f"run-{run}", FIRST_DAY, INGEST_LENGTH)
+    before = ingest.day_digests(read_lake(spark, lake)).select("category", "brand", "created_at", F.col("n").alias("n_before"))
+    path = fresh_folder(spark, "before")
+    before.write.parquet(path)
+    ingest.copy_late_rows(spark, store, source, lake, "ingest", FIRST_DAY)
+    after = ingest.day_digests(read_lake(spark, lake)).drop("digest")
+    keys = ["category", "brand", "created_at"]
+    return after.join(spark.read.parquet(path), keys, "left").select(*keys, "n", F.coalesce("n_before", F.lit(0)).alias("n_before"))
+
+
 # Statistics
 
 
@@ -604,6 +645,8 @@ QUERIES: dict[str, Query] = {
         checkpoint_latest_all,
         next_window,
         ingest_ledger,
+        ingest_claims,
+        ingest_late_rows,
         corpus_stats,
         word_count,
         word_count_top,
