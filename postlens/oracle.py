@@ -383,6 +383,10 @@ SQL: dict[str, str] = {
  where ts >= timestamp '{q.WINDOW[0]}' and ts < timestamp '{q.WINDOW[1]}'"""
     ),
     "lake_json_scan": _lake_rows("select * from lake"),
+    "lake_compacted": _lake_rows(
+        """select category, brand, created_at, count(*) as n, 1 as n_files, sum(tweet_id) as ids
+ from lake group by category, brand, created_at"""
+    ),
     "lake_csv_scan": PROFILES,
     "partition_range_scan": _lake_rows(
         f"""select category, brand, created_at, count(*) as n from lake where category = 'click'

@@ -14,9 +14,11 @@ from postlens.functions import dates, hashtags, params, text
 from postlens.operators import brands, claims, cleaning, ledger, lexicon, places, rows, stats
 from postlens.plans import enrich, ingest, score
 from postlens.session import fresh_folder
+from postlens.sinks import compact
 from postlens.sinks.files import write_lake, write_parquet, write_profiles
 from postlens.sources.external import stream_values
 from postlens.sources.files import (
+    JSON_OPTIONS,
     in_partitions,
     in_window,
     read_csv,
@@ -93,6 +95,18 @@ def partition_range_scan(spark, folder):
     return wanted.groupBy("category", "brand", "created_at").agg(F.count("*").alias("n"))
 
 
+def lake_compacted(spark, folder):
+    """The lake in many small files, packed: its rows, and how many files each partition has."""
+    root = fresh_folder(spark, "lake")
+    posts = ingest.label_by_day(derived.lake_posts(spark, folder)).repartition(16)
+    posts.write.options(**JSON_OPTIONS).partitionBy(*schemas.LAKE_PARTITIONS).json(root)
+    compact.compact(spark, root)
+    rows = compact.read_live(spark, root, schemas.LAKE).select("*", F.col("_metadata.file_path").alias("file"))
+    return rows.groupBy("category", "brand", F.col("created_at").cast("date").alias("created_at")).agg(
+        F.count("*").alias("n"), F.count_distinct("file").alias("n_files"), F.sum("tweetInfo.id").alias("ids")
+    )
+
+
 def lake_csv_scan(spark, folder):
     root = fresh_folder(spark, "profiles")
     write_profiles(_reshaped(spark, folder), root)
@@ -612,6 +626,7 @@ QUERIES: dict[str, Query] = {
     for query in (
         incremental_window,
         lake_json_scan,
+        lake_compacted,
         lake_csv_scan,
         partition_range_scan,
         parquet_roundtrip,

@@ -53,10 +53,14 @@ def names(spark: SparkSession, folder: str) -> list[str]:
     return sorted(name for name in found if not name.startswith("."))
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    return _system(spark, path).exists(_path(spark, path))
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     """The text of a small file; null where it is missing."""
     system = _system(spark, path)
-    if not system.exists(_path(spark, path)):
+    if not exists(spark, path):
         return None
     stream = system.open(_path(spark, path))
     try:
@@ -72,5 +76,6 @@ def remove(spark: SparkSession, path: str) -> bool:
 
 def move(spark: SparkSession, source: str, target: str) -> None:
     """Move a file or folder to a place that is free."""
+    _system(spark, target).mkdirs(_path(spark, target).getParent())
     if not _system(spark, source).rename(_path(spark, source), _path(spark, target)):
         raise OSError(f"{source} was not moved to {target}")
