@@ -98,7 +98,7 @@ def partition_range_scan(spark, folder):
 def lake_compacted(spark, folder):
     """The lake in many small files, packed: its rows, and how many files each partition has."""
     root = fresh_folder(spark, "lake")
-    posts = ingest.label_by_day(derived.lake_posts(spark, folder)).repartition(16)
+    posts = ingest.label_by_day(derived.lake_posts(spark, folder)).repartition(4)
     posts.write.options(**JSON_OPTIONS).partitionBy(*schemas.LAKE_PARTITIONS).json(root)
     compact.compact(spark, root)
     rows = compact.read_live(spark, root, schemas.LAKE).select("*", F.col("_metadata.file_path").alias("file"))

@@ -14,12 +14,23 @@ from pyspark.sql import SparkSession
 EXISTS = "FileAlreadyExistsException"
 
 
+# The Java class of paths and the file systems met, by session; each look-up costs several calls.
+_KNOWN: dict = {}
+
+
 def _path(spark: SparkSession, path: str):
-    return spark._jvm.org.apache.hadoop.fs.Path(path)
+    key = id(spark._jvm)
+    if key not in _KNOWN:
+        _KNOWN[key] = spark._jvm.org.apache.hadoop.fs.Path
+    return _KNOWN[key](path)
 
 
 def _system(spark: SparkSession, path: str):
-    return _path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
+    place = path[: path.find("/", path.find("://") + 3)] if "://" in path else path.partition(":")[0] if ":/" in path else ""
+    key = (id(spark._jvm), place)
+    if key not in _KNOWN:
+        _KNOWN[key] = _path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
+    return _KNOWN[key]
 
 
 def publish(spark: SparkSession, path: str, text: str) -> bool:
@@ -46,10 +57,9 @@ def publish(spark: SparkSession, path: str, text: str) -> bool:
 
 def names(spark: SparkSession, folder: str) -> list[str]:
     """Names of the files in ``folder``, sorted; none where it is missing."""
-    system = _system(spark, folder)
-    if not system.exists(_path(spark, folder)):
+    if not exists(spark, folder):
         return []
-    found = [status.getPath().getName() for status in system.listStatus(_path(spark, folder))]
+    found = [status.getPath().getName() for status in _system(spark, folder).listStatus(_path(spark, folder))]
     return sorted(name for name in found if not name.startswith("."))
 
 
