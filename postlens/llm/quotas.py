@@ -14,6 +14,7 @@ order are sums of sums over buckets of the order, so no task sees a whole patter
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
@@ -197,26 +198,27 @@ def flows(patterns: DataFrame, sources: DataFrame, folder: str, most: int = MOST
 
 def placed(rows: DataFrame, seed: int, bucket: int = BUCKET) -> tuple[DataFrame, DataFrame]:
     """Rows of ``doc_id, members, size, copies`` with ``bucket`` and ``start`` in it, and the buckets' offsets."""
-    draw = F.xxhash64(F.lit(seed), "doc_id", "size", "members")
-    n = rows.groupBy("members").agg(F.count("*").alias("n"))
-    bits = n.select("members", F.greatest(F.lit(0), F.ceil(F.log2(F.col("n") / F.lit(bucket)))).cast("int").alias("bits"))
-    own = rows.join(bits, "members").withColumn("draw", draw)
-    own = own.withColumn("bucket", F.when(F.col("bits") > 0, F.expr("shiftrightunsigned(draw, 64 - bits)")).otherwise(F.lit(0).cast("long")))
+    bits = max(0, math.ceil(math.log2(max(1, rows.count()) / bucket)))
+    own = rows.withColumn("draw", F.xxhash64(F.lit(seed), "doc_id", "size", "members"))
+    own = own.withColumn("bucket", F.shiftrightunsigned("draw", 64 - bits) if bits else F.lit(0).cast("long"))
     words = F.col("size") * F.col("copies")
     sums = own.groupBy("members", "bucket").agg(F.sum(words).alias("words"))
-    # A pattern has a bucket per ``bucket`` rows.
+    # A pattern has as many buckets at most as a pattern of all rows has.
     offsets = sums.select("members", "bucket", (F.sum("words").over(Window.partitionBy("members").orderBy("bucket")) - F.col("words")).alias("offset"))
     inside = Window.partitionBy("members", "bucket").orderBy("draw", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return own.withColumn("start", F.sum(words).over(inside) - words), offsets
 
 
-def select_documents(docs: DataFrame, targets: DataFrame, folder: str, most: int = MOST, seed: int = SEED) -> DataFrame:
+def select_documents(
+    docs: DataFrame, targets: DataFrame, folder: str, most: int = MOST, seed: int = SEED, about: DataFrame | None = None
+) -> DataFrame:
     """What the mix takes of each row of ``doc_id, members, size``.
 
     ``members`` lists the keys of a document's sources, sorted, at least one; ``targets`` has ``key, rank,
     target``. The result has ``doc_id, members, size, taken`` and ``taken_by``, the words for each source;
     the last document taken of a pattern may be taken in part. Equal rows are told apart by nothing:
-    they stay as many rows and share what falls on them. Null ids are ids like others.
+    they stay as many rows and share what falls on them. Null ids are ids like others. Columns of
+    ``about``, a row for each ``members``, come too.
     """
     spark = docs.sparkSession
     docs.groupBy("doc_id", "members", "size").agg(F.count("*").alias("copies")).write.parquet(f"{folder}/rows")
@@ -228,9 +230,10 @@ def select_documents(docs: DataFrame, targets: DataFrame, folder: str, most: int
     taken = spark.read.parquet(f"{folder}/flows").join(patterns, "members")
     own, offsets = placed(rows, seed)
     # Patterns meet their buckets, not their documents.
-    by_bucket = offsets.join(taken, "members")
+    more = [] if about is None else [name for name in about.columns if name != "members"]
+    by_bucket = offsets.join(taken if about is None else taken.join(about, "members"), "members")
     at = own.join(by_bucket, ["members", "bucket"]).select(
-        "doc_id", "members", "size", "words", "cuts", (F.col("offset") + F.col("start")).alias("start"), F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy")
+        "doc_id", "members", "size", "words", "cuts", *more, (F.col("offset") + F.col("start")).alias("start"), F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy")
     )
     at = at.withColumn("start", F.col("start") + F.col("size") * (F.col("copy") - 1))
     times = F.sequence(F.lit(0), F.lit(most - 1))
@@ -245,7 +248,7 @@ def select_documents(docs: DataFrame, targets: DataFrame, folder: str, most: int
         return F.aggregate(times, F.lit(0).cast("long"), once)
 
     by = F.filter(F.transform("cuts", lambda c: F.struct(c["key"].alias("key"), of(c).alias("words"))), lambda t: t["words"] > 0)
-    return at.select("doc_id", "members", "size", by.alias("taken_by")).withColumn(
+    return at.select("doc_id", "members", "size", *more, by.alias("taken_by")).withColumn(
         "taken", F.aggregate("taken_by", F.lit(0).cast("long"), lambda done, t: done + t["words"])
     )
 
@@ -263,7 +266,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE,
     sized.select(F.col("doc_id").cast("long").alias("doc_id"), F.expr(KEY).alias("key"), "size").write.parquet(f"{folder}/sized")
     sized = docs.sparkSession.read.schema("doc_id long, key string, size long").parquet(f"{folder}/sized")
     targets = weighted_targets(sized.groupBy("key").agg(F.sum("size").alias("size")), folder, weights, share, most)
-    found = select_documents(sized.select("doc_id", F.array("key").alias("members"), "size"), targets, folder, most, seed)
     own = targets.select(F.array("key").alias("members"), F.col("size").alias("source_size"), "target")
+    found = select_documents(sized.select("doc_id", F.array("key").alias("members"), "size"), targets, folder, most, seed, own)
     source = F.when(F.col("key") != "~", F.substring("key", 2, 1 << 30)).alias("source")
-    return found.join(own, "members").withColumn("key", F.col("members")[0]).select("doc_id", source, "size", "source_size", "target", "taken")
+    return found.withColumn("key", F.col("members")[0]).select("doc_id", source, "size", "source_size", "target", "taken")
