@@ -284,7 +284,7 @@ def _word_counts(tail: str) -> str:
     )
 
 
-def _corpus_stats() -> str:
+def _corpus_stats(texts: str) -> str:
     chain = [("retweet", lambda x: f"case when not starts_with({x}, 'RT') then {x} end"), *CHAIN[:-1]]
     # No given text is garbled: the repair step comes after the lemmas and changes nothing.
     chain.insert(4, ("unicode", lambda x: x))
@@ -293,7 +293,6 @@ def _corpus_stats() -> str:
         f"select '{name}' as step, unnest(string_split(x, ' ')) as word from c{i}"
         for i, name in enumerate(names)
     )
-    texts = "(select text from documents union all select text from posts)"
     return (
         f"{_chain(texts, '1 as one', 'text', chain, f'posts as ({POSTS}), ')} "
         "select step, cast(count(*) as bigint) as total_words, count(distinct word) as unique_words "
@@ -499,7 +498,8 @@ from tokens left join common on common.token = tokens.token group by doc_id""",
         """select category, brand, created_at, count(*) as n, count(*) filter (where tweet_id % 23 <> 0) as n_before
  from lake group by category, brand, created_at"""
     ),
-    "corpus_stats": _corpus_stats(),
+    "corpus_stats": _corpus_stats("(select text from documents union all select text from posts)"),
+    "corpus_stats_by_day": _corpus_stats("posts"),
     "word_count": _word_counts(""),
     "word_count_top": _word_counts(f"order by n desc, word limit {q.TOP_WORDS}"),
     "stage_counters": _posts(

@@ -36,6 +36,7 @@ WINDOW = ("2024-01-08", "2024-01-15")
 TASK, BRAND = "2-HIGH", "b1"
 FIRST_DAY, INGEST_LENGTH, RAW_LENGTH = datetime(2024, 1, 1), timedelta(days=10), timedelta(days=20)
 TOP_WORDS = 20
+STEPS = ("start", *cleaning.ALL_STEPS)
 PARTS, DELAY = ("2024-01-11", "2024-01-21"), timedelta(days=5)
 # Columns of the enriched posts.
 ENRICHED = ["text", "brand", "country", "occurred_on", "prepped_text"]
@@ -464,7 +465,18 @@ def corpus_stats(spark, folder):
     texts = read_texts(spark, folder, "documents").select("text")
     texts = texts.union(derived.posts(spark, folder).select("text"))
     staged = cleaning.clean_stages(texts, "text", cleaning.ALL_STEPS)
-    return stats.corpus_stats(staged, ["start", *cleaning.ALL_STEPS])
+    return stats.corpus_stats(staged, STEPS)
+
+
+def corpus_stats_by_day(spark, folder):
+    """The same over posts, whose days come window by window; each window counts its new days only."""
+    path = fresh_folder(spark, "stats")
+    posts = derived.posts(spark, folder).select("ts", "text", F.col("ts").cast("date").alias("day"))
+    for run in _runs(spark, folder, INGEST_LENGTH):
+        end = F.lit(FIRST_DAY + INGEST_LENGTH * (run + 1)).cast("timestamp_ntz")
+        so_far = posts.where(F.col("ts") < end)
+        stats.add_days(so_far, lambda new: cleaning.clean_stages(new, "text", cleaning.ALL_STEPS), STEPS, path)
+    return stats.summed_steps(spark.read.parquet(path), STEPS)
 
 
 def _plain(spark, folder) -> DataFrame:
@@ -663,6 +675,7 @@ QUERIES: dict[str, Query] = {
         ingest_claims,
         ingest_late_rows,
         corpus_stats,
+        corpus_stats_by_day,
         word_count,
         word_count_top,
         stage_counters,

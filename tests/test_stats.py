@@ -54,3 +54,23 @@ def test_samples_are_fixed_and_nested(spark):
     tenth, half = pick(0.1), pick(0.5)
     assert tenth == pick(0.1, 7) and tenth < half and abs(len(tenth) - 500) < 100
     assert pick(0) == set() and len(pick(1)) == 5000
+
+
+def test_days_merge_and_are_counted_once(spark, tmp_path):
+    from datetime import date
+
+    steps, path, seen = ("start", "case", "cut"), str(tmp_path / "state"), []
+
+    def stage(rows):
+        seen.append(sorted({r.day for r in rows.collect()}))
+        return rows.withColumn("start", F.col("text")).withColumn("case", F.upper("text")).withColumn("cut", F.when(F.length("text") > 3, F.col("case")))
+
+    rows = [(date(2024, 1, 1 + i % 4), t) for i, t in enumerate(TEXTS * 3)] + [(None, "lost")]
+    whole = spark.createDataFrame(rows, "day date, text string")
+    for last in (2, 2, 4):
+        stats.add_days(whole.where(F.col("day").isNull() | (F.dayofmonth("day") <= last)), stage, steps, path)
+    assert seen == [[date(2024, 1, 1), date(2024, 1, 2)], [date(2024, 1, 3), date(2024, 1, 4)]]
+    merged = stats.summed_steps(spark.read.parquet(path), steps).collect()
+    want = stats.corpus_stats(stage(whole.where("day is not null")), steps).collect()
+    assert sorted(merged) == sorted(want) and len(want) == 3
+    assert stats.add_days(whole.limit(0), stage, steps, str(tmp_path / "none")) == []
