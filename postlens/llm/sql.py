@@ -91,4 +91,56 @@ SELECT page_id, octet_length(encode(p)) AS payload_bytes, sha256(p) AS payload_d
 FROM payloads LEFT JOIN firsts USING (p)
 """
 
-SQL = {"op1_secrets": SECRETS, "op3_warc": ARCHIVE, "op8_line_dedup": LINES}
+
+def _crc32(text: str) -> str:
+    """The unsigned crc32 of an ASCII text, half a byte at a time."""
+    table = []
+    for value in range(16):
+        for _ in range(4):
+            value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
+        table.append(value)
+    half = lambda v: f"xor(list_extract(CAST({table} AS BIGINT[]), ({v} & 15) + 1), {v} >> 4)"
+    codes = f"list_transform(string_split({text}, ''), lambda s: ascii(s)::BIGINT)"
+    once = half("xor(c, b)")
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {codes}), lambda c, b: {half(f'({once})')}), 4294967295)"
+
+
+# Totals without passing them up: a node is an own node of its smallest member, and the nodes below it
+# are own nodes of its members, as deep or deeper.
+TRIE = f"""
+WITH turns AS (
+  SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS t,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS q
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT c, count(*) AS n, c - c % 100 AS base, {_crc32('c::VARCHAR')} % 6 AS h FROM turns GROUP BY c),
+starts AS (
+  SELECT v.*, least(v.h, coalesce(b.n, 0)) AS m FROM convs v LEFT JOIN convs b ON b.c = v.base),
+rebuilt AS (
+  SELECT s.c, q AS d, r, t FROM starts s JOIN turns ON turns.c = s.base AND q <= s.h
+  UNION ALL SELECT s.c, q - h + m, r, t FROM starts s JOIN turns USING (c) WHERE q > h),
+members AS (
+  SELECT c, d, md5(string_agg(md5(length(r) || ':' || r || t), '') OVER (PARTITION BY c ORDER BY d)) AS k, length(t) AS chars FROM rebuilt
+  UNION ALL SELECT c, 0, '', 0 FROM convs),
+lengths AS (SELECT c, max(d) AS d FROM members GROUP BY c),
+nodes AS (
+  SELECT m.d, k, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * min(chars) AS w,
+         sha256(coalesce(string_agg(CASE WHEN l.d = m.d THEN c::VARCHAR END, ',' ORDER BY c), '')) AS ends_sha256
+  FROM members m JOIN lengths l USING (c) GROUP BY m.d, k),
+named AS (SELECT m.c, m.d, n.conv_id FROM members m JOIN nodes n USING (d, k)),
+placed AS (
+  SELECT n.*, p.conv_id AS parent_conv_id FROM nodes n LEFT JOIN named p ON p.c = n.conv_id AND p.d = n.d - 1),
+children AS (SELECT parent_conv_id AS conv_id, d - 1 AS d, count(*) AS n_children FROM placed WHERE d > 0 GROUP BY ALL),
+whole AS (SELECT p.*, coalesce(n_children, 0) AS n_children FROM placed p LEFT JOIN children USING (conv_id, d)),
+below AS (
+  SELECT m.c, m.d, m.conv_id, sum(CASE WHEN w.conv_id = m.c THEN w.w ELSE 0 END) OVER up AS saved,
+         sum(CASE WHEN w.conv_id = m.c AND w.n_children = 0 THEN 1 ELSE 0 END) OVER up AS leaves
+  FROM named m JOIN whole w ON w.conv_id = m.conv_id AND w.d = m.d
+  WINDOW up AS (PARTITION BY m.c ORDER BY m.d DESC)),
+totals AS (SELECT conv_id, d, sum(saved) AS saved_tokens, sum(leaves) AS n_leaves FROM below GROUP BY conv_id, d)
+SELECT conv_id, d AS depth, parent_conv_id, n_convs, n_children, n_leaves::BIGINT AS n_leaves,
+       saved_tokens::BIGINT AS saved_tokens, ends_sha256
+FROM whole JOIN totals USING (conv_id, d)
+"""
+
+SQL = {"op1_secrets": SECRETS, "op3_warc": ARCHIVE, "op8_line_dedup": LINES, "op11_trie": TRIE}
