@@ -143,4 +143,76 @@ SELECT conv_id, d AS depth, parent_conv_id, n_convs, n_children, n_leaves::BIGIN
 FROM whole JOIN totals USING (conv_id, d)
 """
 
-SQL = {"op1_secrets": SECRETS, "op3_warc": ARCHIVE, "op8_line_dedup": LINES, "op11_trie": TRIE}
+
+
+def _repair() -> str:
+    """A fold over the rows of a conversation. ``x.st`` has the cheapest edits so far by what was written
+    last (nothing, system, user, assistant): cost, initials, lines. Costs decide, then initials."""
+
+    def after(state: str, cost: str, edit: str, line: str | None) -> str:
+        lines = f"{state}.o" if line is None else f"list_append({state}.o, {line})"
+        return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{edit}', 'o': {lines}}}"
+
+    start, system, user, assistant = (f"x.st[{i}]" for i in range(1, 5))
+    extra = "CASE WHEN y.f = 3 THEN 3 ELSE 0 END"
+    own, new = "y.r || ':' || y.t", "'{}:' || y.t"
+    kept = lambda s, initial: f"CASE WHEN y.f NOT IN (1, 2) AND y.i = '{initial}' THEN {after(s, extra, 'K', own)} END"
+    given = lambda s, role: f"CASE WHEN y.f NOT IN (1, 2) THEN {after(s, f'3 + {extra}', 'R', new.format(role))} END"
+    deleted = lambda s: after(s, "4", "D", None)
+    before_user = (start, system, assistant)
+    rows = ", ".join(
+        f"list_min(list_filter([{', '.join(arcs)}], lambda z: z IS NOT NULL))"
+        for arcs in (
+            [deleted(start)],
+            [deleted(system), kept(start, "s")],
+            [deleted(user), *(kept(s, "u") for s in before_user), *(given(s, "user") for s in before_user)],
+            [deleted(assistant), kept(user, "a"), given(user, "assistant")],
+        )
+    )
+
+    def closed(states: str) -> str:
+        inserted = lambda i, role: after(f"n[{i}]", "3", "I", f"'{role}:'")
+        with_user = f"[n[1], n[2], list_min([n[3], {inserted(1, 'user')}, {inserted(2, 'user')}, {inserted(4, 'user')}]), n[4]]"
+        with_assistant = f"[n[1], n[2], n[3], list_min([n[4], {inserted(3, 'assistant')}])]"
+        once = f"list_transform([{states}], lambda n: {with_user})"
+        return f"list_transform({once}, lambda n: {with_assistant})[1]"
+
+    none = "{'c': 1000000000000, 'a': '', 'o': ['']}"
+    first = closed("[{'c': 0::BIGINT, 'a': '', 'o': []::VARCHAR[]}, " + ", ".join([none] * 3) + "]")
+    kind = "STRUCT(st STRUCT(c BIGINT, a VARCHAR, o VARCHAR[])[], i VARCHAR, f INTEGER, r VARCHAR, t VARCHAR)"
+    blank = "[\\x20\\x09-\\x0D]"
+    return f"""
+WITH given AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS r, coalesce(text, ' ') AS t,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+kinds AS (SELECT *, {_crc32('k')} % 20 AS kind FROM given),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE r END AS r,
+         CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(t, '[.!?]', '', 'g') ELSE t END AS t,
+         unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM kinds WHERE kind <> 0),
+ordered AS (
+  SELECT *, row_number() OVER own AS p, row_number() OVER (PARTITION BY conv_id, r, t ORDER BY turn NULLS FIRST, copy) AS nth,
+         lag(left(r, 1)) OVER own AS last_initial
+  FROM damaged WINDOW own AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, r, t, copy)),
+coded AS (
+  SELECT *, CASE WHEN regexp_full_match(t, '{blank}*') THEN 1 WHEN nth > 1 THEN 2
+                 WHEN NOT regexp_matches(t, '[.!?]{blank}*$') THEN 3 ELSE 0 END AS f FROM ordered),
+folded AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (f = 1) AS blank,
+         count(*) FILTER (f = 2) AS duplicate, count(*) FILTER (f = 3) AS truncated,
+         count(*) FILTER (last_initial || left(r, 1) NOT IN ('su', 'ua', 'au')) AS illegal,
+         list_reduce(
+           list_prepend({{'st': {first}, 'i': '', 'f': 0, 'r': '', 't': ''}}::{kind},
+             list({{'st': NULL, 'i': left(r, 1), 'f': f, 'r': r, 't': t}}::{kind} ORDER BY p)),
+           lambda x, y: {{'st': {closed(f"[{rows}]")}, 'i': '', 'f': 0, 'r': '', 't': ''}}::{kind}).st AS st
+  FROM coded GROUP BY conv_id),
+chosen AS (SELECT *, least(st[1], st[4]) AS best FROM folded)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.c, 0) AS cost,
+       coalesce(best.a, '') AS audit, sha256(coalesce(array_to_string(best.o, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) ids LEFT JOIN chosen USING (conv_id)
+"""
+
+
+SQL = {"op1_secrets": SECRETS, "op3_warc": ARCHIVE, "op8_line_dedup": LINES, "op11_trie": TRIE, "op12_repair": _repair()}
