@@ -72,6 +72,7 @@ def tagged_posts(spark: SparkSession, folder: str) -> DataFrame:
 
 def payloads(spark: SparkSession, folder: str) -> DataFrame:
     """``(tweet_id, value)``: posts as JSON bytes, some of them damaged."""
+    # Field names of the payload.
     reposted = F.struct(
         F.struct(
             F.col("text").alias("full_text"), F.struct(F.col("rt_hashtag").alias("hashtags")).alias("entities")
@@ -97,6 +98,7 @@ def payloads(spark: SparkSession, folder: str) -> DataFrame:
 
 def lake_posts(spark: SparkSession, folder: str) -> DataFrame:
     """Raw posts as a document store would deliver them."""
+    # Field names of the lake.
     return posts(spark, folder).select(
         F.concat(F.lit("b"), F.col("user_id") % 4).alias("brand"),
         F.col("event_type").alias("category"),
