@@ -71,3 +71,21 @@ def test_table_chain_equals_inlined_chain(spark):
     assert sorted(cleaning.clean(rows, steps=cleaning.ALL_STEPS, words=words).collect(), key=str) == sorted(want, key=str)
     with pytest.raises(ValueError):
         cleaning.clean_stages(rows, "text", words=words)
+
+
+def test_rows_are_made_once_for_all_readings(spark):
+    """Chained dictionaries: each row of the source is computed once, not at every reading of every step."""
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    rows = spark.createDataFrame([(i, f"a b c {i}") for i in range(20)], "i int, text string").mapInArrow(count, "i int, text string")
+    table = spark.createDataFrame([("a b", "x"), ("x c", "y")], "phrase string, replacement string")
+    done = rows
+    for _ in range(2):
+        done = phrases.rewrite_phrases(done, "text", table)
+    assert {r.i: r.text for r in done.collect()} == {i: f"y {i}" for i in range(20)}
+    assert made.value == 20
