@@ -147,3 +147,18 @@ def test_no_python_in_the_plan(spark):
 
 def test_fixed_lists():
     assert "panasonic" in lexicon.STOP_WORDS and lexicon.LABEL_CODES == {"No": 0, "Yes": 1}
+
+
+def test_texts_of_ascii_alone_are_matched_like_others(spark):
+    """The table-looked-up classes match what the classes of all scripts do."""
+    texts = [chr(i) for i in range(128)] + [f"a{chr(i)}@bc{chr(i)} {chr(i)}  #d{chr(i)}" for i in range(128)] + ["", None, "@a @b@c", "\t a \n b "]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    pairs = [
+        (text.mask_handle, lambda t: F.regexp_replace(t, text.HANDLE, " {{HANDLE}}")),
+        (text.strip_punctuation, lambda t: F.regexp_replace(t, text.PUNCTUATION, "")),
+        (text.squeeze_space, lambda t: F.trim(F.regexp_replace(t, f"[{text.SPACE}]+", " "))),
+    ]
+    for ours, plain in pairs:
+        assert rows.where(~ours(F.col("text")).eqNullSafe(plain(F.col("text")))).count() == 0
+    plan = rows.select(text.strip_punctuation(F.col("text")))._jdf.queryExecution().toString()
+    assert r"[\x00" in plan
