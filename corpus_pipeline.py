@@ -20,7 +20,11 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (5-word similarity 0.8), the one with the smallest ``doc_id``."""
+    """One document of each group of near copies, the one with the smallest ``doc_id``.
+
+    SimHash fingerprints and pivot tables propose copies, 5-word similarity 0.8 decides, and shared
+    shingles find the copies whose fingerprints are farther apart.
+    """
     return near.without_near_copies(docs)
 
 

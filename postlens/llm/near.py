@@ -1,6 +1,10 @@
-"""Near copies by exact similarity of word shingles: no pair at the threshold is lost.
+"""Near copies by SimHash, and by exact similarity of word shingles: no pair at the threshold is lost.
 
-A text is the set of hashes of its shingles; equal sets are one node. Two sets whose similarity
+A text is the set of hashes of its shingles; equal sets are one node, and its SimHash fingerprint is
+taken of the set. Nodes whose fingerprints differ in two bits at most are found as in ``simhash``, by
+pairs of blocks and pivot distance tables, and are linked if the similarity of their sets says so too.
+
+Sets at the threshold may differ in far more bits, so others are found by their shingles. Two sets whose similarity
 (shared over all) is at least t share one of their first ``n - ceil(t * n) + 1`` shingles in any
 order common to all sets, so nodes meet under these; sizes and positions discard pairs that cannot
 reach t, the others are compared shingle by shingle.
@@ -28,6 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from postlens.llm import simhash
 from postlens.llm.common import sole_holder
 from postlens.llm.components import components
 from postlens.llm.words import shingles
@@ -42,8 +47,8 @@ PAIRED = 64
 # at most; the nodes left are compared pair by pair.
 LINKED = 1 / 8
 LEADERS = 16
-# Rows that Python workers turn to sets at once.
-ROWS = 128
+# Rows that Python workers turn to sets at once, and hashes whose bits they count at once.
+ROWS, HASHES = 128, 1 << 16
 
 
 def shingle_set(text: str | None, size: int = SHINGLE) -> np.ndarray:
@@ -57,6 +62,10 @@ def _node(own: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(own.tobytes(), len(own)) - (1 << 63)
 
 
+def _fingerprint(own: np.ndarray) -> int:
+    return simhash.majority(own[at : at + HASHES] for at in range(0, len(own), HASHES))
+
+
 def _by_slices(batches: Iterator[pa.RecordBatch], made: Callable) -> Iterator[pa.RecordBatch]:
     """``made`` of few rows at a time, so that sets of a whole batch never stand in memory."""
     sole_holder("near")
@@ -71,7 +80,7 @@ def _needed(n: Column, least: float) -> Column:
 
 
 def _marks(docs: DataFrame, size: int, least: float) -> DataFrame:
-    """``doc_id, node, n, first``: the size of the set and its first shingles by hash."""
+    """``doc_id, node, n, fp, first``: the set's size, its fingerprint and its first shingles by hash."""
 
     def mark(part: pa.RecordBatch) -> pa.RecordBatch:
         sets = [shingle_set(t.as_py(), size) for t in part["text"]]
@@ -81,13 +90,14 @@ def _marks(docs: DataFrame, size: int, least: float) -> DataFrame:
                 part["doc_id"],
                 pa.array([_node(s) for s in sets], pa.int64()),
                 pa.array([len(s) for s in sets], pa.int32()),
+                pa.array(np.array([_fingerprint(s) for s in sets], np.uint64).view(np.int64)),
                 pa.array(first, pa.list_(pa.int64())),
             ],
-            ["doc_id", "node", "n", "first"],
+            ["doc_id", "node", "n", "fp", "first"],
         )
 
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return ids.mapInArrow(lambda b: _by_slices(b, mark), "doc_id long, node long, n int, first array<long>")
+    return ids.mapInArrow(lambda b: _by_slices(b, mark), "doc_id long, node long, n int, fp long, first array<long>")
 
 
 # A mask has a bit per value of 26 bits, 8 MB in all; what passes by chance joins nothing later.
@@ -194,6 +204,21 @@ def _pairs(rows: DataFrame, least: float) -> DataFrame:
     return met.select(F.least("a.node", "b.node").alias("u"), F.greatest("a.node", "b.node").alias("v"))
 
 
+def _by_fingerprint(nodes: DataFrame, least: float, folder: str) -> DataFrame:
+    """``u, v``: nodes of ``node, n, fp`` whose fingerprints are linked, and whose sizes allow ``least``.
+
+    Nodes of one fingerprint meet its least node only; the shingles find what that leaves out.
+    """
+    heads = nodes.groupBy("fp").agg(F.min(F.struct("node", "n")).alias("head"))
+    alike = nodes.join(heads, "fp").select(F.struct("node", "n").alias("a"), F.col("head").alias("b"))
+    found = simhash.links(heads.select("fp"), folder)
+    first, second = (heads.select(F.col("fp").alias(fp), F.col("head").alias(name)) for fp, name in (("u", "a"), ("v", "b")))
+    across = found.join(first, "u").join(second, "v").select("a", "b")
+    near = F.least("a.n", "b.n") >= least * F.greatest("a.n", "b.n") - 1e-6
+    met = alike.union(across).where((F.col("a.node") != F.col("b.node")) & near)
+    return met.select(F.least("a.node", "b.node").alias("u"), F.greatest("a.node", "b.node").alias("v"))
+
+
 def _early(least: float) -> Column:
     """Whether the smaller set of a pair at ``least`` can have its first common shingle here."""
     return F.col("pos") < _needed(F.col("n"), 2 * least / (1 + least))
@@ -323,19 +348,25 @@ def near_copies(
     _marks(docs, size, least).write.parquet(f"{folder}/marks")
     marks = spark.read.parquet(f"{folder}/marks")
     nodes = marks.groupBy("node").agg(F.min("doc_id").alias("least"))
+    marks.groupBy("node").agg(F.min("n").alias("n"), F.min("fp").alias("fp")).write.parquet(f"{folder}/prints")
+    prints = spark.read.schema("node long, n int, fp long").parquet(f"{folder}/prints")
+    _by_fingerprint(prints, least, f"{folder}/simhash").distinct().write.parquet(f"{folder}/proposed")
+    proposed = spark.read.schema("u long, v long").parquet(f"{folder}/proposed")
     meeting = _by_hash(marks, least, folder)
     crowd = meeting.where(F.col("early_rows") > paired).select("node").distinct()
-    _pairs(meeting.where(F.col("early_rows") <= paired), least).distinct().write.parquet(f"{folder}/pairs")
+    _pairs(meeting.where(F.col("early_rows") <= paired), least).union(proposed).distinct().write.parquet(f"{folder}/pairs")
     pairs = spark.read.schema("u long, v long").parquet(f"{folder}/pairs")
     wanted = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).union(crowd).distinct()
     sets = _sets(docs, wanted.join(nodes, "node"), size)
+    # Read by no later step, not even where an executor is lost; so below.
+    for name in ("prints", "simhash", "proposed", "counted", "keys"):
+        commits.remove(spark, f"{folder}/{name}")
     # One set a node; sorting them is left out where no row can repeat another.
     (sets.dropDuplicates(["node"]) if _repeat(marks) else sets).write.parquet(f"{folder}/sets")
     sets = spark.read.schema("node long, own binary").parquet(f"{folder}/sets")
     # Sets of nodes that are in no crowd change counts a little, and no result.
     again, sets = _by_frequency(sets, least, folder)
-    # Read by no later step, not even where an executor is lost.
-    for name in ("counted", "keys", "sets", "held"):
+    for name in ("sets", "held"):
         commits.remove(spark, f"{folder}/{name}")
     few = _pairs(again.where(F.col("early_rows") <= paired), least)
     links = _compared(pairs.union(few), sets, least, f"{folder}/found").select("u", "v")

@@ -11,7 +11,7 @@ or zero; two nodes within two bits share one, and all nodes of a hub, 65 at most
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -34,13 +34,17 @@ PAIRED = 256
 
 def fingerprint(text: str | None, size: int = SHINGLE) -> int:
     """Bit b is 1 if it is set in over half of the shingle hashes; 0 without any word."""
-    ones, total = np.zeros(64, dtype=np.int64), 0
     digest = xxhash.xxh64_intdigest
-    for part in shingles(text, size):
-        hashes = np.fromiter((digest(s, SEED) for s in part), dtype="<u8", count=len(part))
+    return majority(np.fromiter((digest(s, SEED) for s in part), dtype="<u8", count=len(part)) for part in shingles(text, size))
+
+
+def majority(parts: Iterable[np.ndarray]) -> int:
+    """The bits set in over half of the hashes, which come in arrays."""
+    ones, total = np.zeros(64, dtype=np.int64), 0
+    for hashes in parts:
         bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         ones += bits.sum(axis=0, dtype=np.int64)
-        total += len(part)
+        total += len(hashes)
     return int(np.packbits(2 * ones > total, bitorder="little").view("<u8")[0])
 
 

@@ -57,6 +57,23 @@ def test_components_equal_all_pairs(spark, monkeypatch, paired, leaders):
     assert sorted(((r.doc_id, r.component_id) for r in found.collect()), key=str) == plain(rows)
 
 
+def test_fingerprints_find_copies_by_themselves(spark, monkeypatch):
+    """Without any shared shingle that is looked at, SimHash still links what the similarity confirms."""
+    base = [f"w{i}" for i in range(2000)]
+    changed = [w if i != 700 else "other" for i, w in enumerate(base)]
+    rows = [(1, " ".join(base)), (2, " ".join(changed)), (3, " ".join(reversed(base))), (4, None), (5, "one")]
+    by_hash, by_frequency = near._by_hash, near._by_frequency
+
+    def sets_only(*given):
+        again, sets = by_frequency(*given)
+        return again.limit(0), sets
+
+    monkeypatch.setattr(near, "_by_hash", lambda *given: by_hash(*given).limit(0))
+    monkeypatch.setattr(near, "_by_frequency", sets_only)
+    found = near.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.component_id) for r in found) == [(1, 1), (2, 1), (3, 3), (4, 4), (5, 5)]
+
+
 def test_stage_drops_copies_with_a_few_changed_words(spark):
     words = [f"w{i}" for i in range(300)]
     changed = [w if i % 75 else "other" for i, w in enumerate(words)]
