@@ -29,9 +29,11 @@ SEQUENCE = 2048
 END_ID = 1
 # Pieces in a group, on average; a group is packed by one task.
 GROUP = 2048
-# Words whose ids a Python worker remembers, and the longest such word in bytes: about 50 MB.
-KNOWN_WORDS = 250_000
+# Words whose ids a Python worker remembers, and the longest such word in bytes: about 20 MB.
+KNOWN_WORDS = 100_000
 KNOWN_BYTES = 64
+# Texts whose words stand in memory at once.
+TEXTS = 64
 
 # Letters, then signs; without the apostrophe, which may begin a piece of its own with letters, and
 # the signs of special tokens.
@@ -119,8 +121,8 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = SEQUENCE) -> DataFrame:
         tokens = _tokens(tokenizer)
         for batch in batches:
             free_memory()
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(at, TEXTS)
                 ids = tokens.packed(part["text"].to_pylist())
                 rows = [piece for doc_id, own in zip(part["doc_id"].to_pylist(), ids) for piece in cut(doc_id, own, size)]
                 yield pa.RecordBatch.from_arrays(

@@ -1,5 +1,6 @@
 """Packing: ids equal the tokenizer's own, every id in one piece, sequences gapless and well filled."""
 
+import sys
 import zlib
 from collections import defaultdict
 
@@ -23,6 +24,15 @@ def test_ids_are_those_of_the_whole_text(text):
     assert own == TOKENIZER.encode(text, add_special_tokens=False).ids + [1]
 
 
+def test_remembered_words_stay_small(monkeypatch):
+    """A worker remembers words of about 20 MB, whatever it reads."""
+    tokens = packing.WordTokens(PATH)
+    monkeypatch.setattr(tokens, "_learn", lambda new: tokens.known.update((w, bytes(8)) for w in new))
+    for at in range(0, 400_000, 20_000):
+        list(tokens.packed([" ".join(f"word{i}" for i in range(at, at + 20_000))]))
+    assert sys.getsizeof(tokens.known) + sum(sys.getsizeof(w) + sys.getsizeof(i) for w, i in tokens.known.items()) < 25e6
+
+
 def test_special_strings_and_full_memory(monkeypatch):
     monkeypatch.setattr(packing, "KNOWN_WORDS", 3)
     tokens = packing.WordTokens(PATH)
