@@ -29,15 +29,18 @@ SEQUENCE = 2048
 END_ID = 1
 # Pieces in a group, on average; a group is packed by one task.
 GROUP = 2048
-# Words whose ids a Python worker remembers, and the longest such word in bytes: about 20 MB.
-KNOWN_WORDS = 100_000
+# Words whose ids a Python worker remembers, and the longest such word in bytes: about 25 MB.
+KNOWN_WORDS = 150_000
 KNOWN_BYTES = 64
 # Texts whose words stand in memory at once.
-TEXTS = 64
+TEXTS = 256
 
-# Letters, then signs; without the apostrophe, which may begin a piece of its own with letters, and
-# the signs of special tokens.
-_LETTERS_SIGNS = re.compile(rb"([A-Za-z]+)([!-&(-/:;=?@\[-`{}~]*)")
+# Signs, without the apostrophe, which may begin a piece of its own with letters, and the signs of
+# special tokens; letters of U+00C0 to U+017F and ASCII, without one that is two in lower case.
+_SIGNS = b"!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
+_LETTERS = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|\xc4[\x80-\xaf\xb1-\xbf]|\xc5[\x80-\xbf])+")
+# Bytes above 127 as the tokenizer writes them, where that is not the character of the same number.
+_WRITTEN = {byte: 162 + byte for byte in range(128, 161)} | {173: 323}
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -74,28 +77,41 @@ class WordTokens:
             for part, ids in zip(parts, own):
                 if None in ids:
                     ids[:] = map(known.__getitem__, part)
-            yield b"".join(chain.from_iterable(own)) + end
+        # Before the first text is given out: callers need not ask for more than the texts they gave.
         room = KNOWN_WORDS - (len(known) - len(new))
         short = [w for w in new if len(w) <= KNOWN_BYTES]
         for word in new.difference(short[: max(0, room)]):
             del known[word]
+        for own in found:
+            yield b"".join(chain.from_iterable(own)) + end
 
     def _learn(self, new: set[bytes]) -> None:
-        """Encode words. ASCII letters are one piece to the tokenizer, and so are ASCII signs.
+        """Encode words. Letters are one piece to the tokenizer, and so are ASCII signs.
 
         Its model alone, without normalising and cutting, gives their ids in half the time.
         """
-        model, plain = self.tokenizer.model, {}
+        known, tokenize, signed, rest = self.known, self.tokenizer.model.tokenize, [], []
         for word in new:
-            if cut := _LETTERS_SIGNS.fullmatch(word):
-                plain[word] = cut.groups()
-        pieces = {p for parts in plain.values() for p in parts if p}
-        letters = {p: model.tokenize(p.lower().decode()) for p in pieces if p.isalpha()}
-        coded = {p: array("I", [t.id for t in ids]).tobytes() for p, ids in letters.items()}
-        rest = [*new.difference(plain), *pieces.difference(letters)]
-        done = self.tokenizer.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False)
-        coded |= {w: array("I", c.ids).tobytes() for w, c in zip(rest, done)}
-        self.known.update((w, b"".join([coded[p] for p in plain.get(w, (w,)) if p])) for w in new)
+            letters = word.rstrip(_SIGNS)
+            if letters.isalpha():
+                low = letters.lower().decode()
+            elif _LETTERS.fullmatch(letters):
+                low = letters.decode().lower().encode().decode("latin-1").translate(_WRITTEN)
+            else:
+                rest.append(word)
+                continue
+            if len(letters) == len(word):
+                known[word] = array("I", [t.id for t in tokenize(low)]).tobytes()
+            else:
+                signed.append((word, letters, low))
+        signs = [*{word[len(letters) :] for word, letters, _ in signed}]
+        done = self.tokenizer.encode_batch_fast([w.decode() for w in rest + signs], add_special_tokens=False)
+        coded = [array("I", c.ids).tobytes() for c in done]
+        ends = dict(zip(signs, coded[len(rest) :]))
+        for word, letters, low in signed:
+            ids = known.get(letters) or array("I", [t.id for t in tokenize(low)]).tobytes()
+            known[word] = ids + ends[word[len(letters) :]]
+        known.update(zip(rest, coded))
 
 
 @cache

@@ -2,6 +2,7 @@
 
 import sys
 import zlib
+from array import array
 from collections import defaultdict
 
 import numpy as np
@@ -33,6 +34,22 @@ def test_remembered_words_stay_small(monkeypatch):
     assert sys.getsizeof(tokens.known) + sum(sys.getsizeof(w) + sys.getsizeof(i) for w, i in tokens.known.items()) < 25e6
 
 
+def test_memory_is_bounded_when_a_caller_stops_at_its_last_text(monkeypatch):
+    monkeypatch.setattr(packing, "KNOWN_WORDS", 50)
+    tokens = packing.WordTokens(PATH)
+    for at in range(0, 1000, 100):
+        for _ in zip([1], tokens.packed([" ".join(f"w{i}" for i in range(at, at + 100))])):
+            pass
+    assert len(tokens.known) <= 50
+
+
+def test_latin_letters_have_the_ids_of_the_whole_text():
+    letters = "".join(map(chr, range(0xC0, 0x180)))
+    words = [*letters, *(f"a{c}B{c}" for c in letters), *(f"{c}x,." for c in letters), *(f"{c}'s" for c in letters)]
+    (found,) = packing.WordTokens(PATH).packed([" ".join(words)])
+    assert list(array("I", found)) == TOKENIZER.encode(" ".join(words), add_special_tokens=False).ids + [1]
+
+
 def test_special_strings_and_full_memory(monkeypatch):
     monkeypatch.setattr(packing, "KNOWN_WORDS", 3)
     tokens = packing.WordTokens(PATH)
