@@ -38,7 +38,7 @@ def inventory(spark: SparkSession, root: str, suffix: str = "json") -> DataFrame
 
 
 def packed(files: DataFrame, target: int = TARGET) -> DataFrame:
-    """``path, partition, bin`` of the files under ``target`` that a bin has more than one of.
+    """``path, partition, bin, size`` of the files under ``target`` that a bin has more than one of.
 
     Files go into bins in falling size, the next bin beginning where the sum passes ``target``.
     """
@@ -46,7 +46,17 @@ def packed(files: DataFrame, target: int = TARGET) -> DataFrame:
     number = F.floor((F.sum("size").over(order) - F.col("size")) / F.lit(target))
     small = files.where(F.col("size") < target).withColumn("bin", F.md5(F.concat_ws("#", "partition", number.cast("string"))))
     shared = Window.partitionBy("bin")
-    return small.withColumn("n", F.count("*").over(shared)).where("n > 1").select("path", "partition", "bin")
+    return small.withColumn("n", F.count("*").over(shared)).where("n > 1").select("path", "partition", "bin", "size")
+
+
+def dealt(sizes: dict[str, int], limit: float) -> dict[str, int]:
+    """The task of each bin: a task holds bins of ``limit`` bytes at most, or one larger bin."""
+    tasks, number, held = {}, 0, 0
+    for name, size in sizes.items():
+        if held and held + size > limit:
+            number, held = number + 1, 0
+        tasks[name], held = number, held + size
+    return tasks
 
 
 def compact(spark: SparkSession, root: str, target: int = TARGET) -> int:
@@ -62,12 +72,18 @@ def compact(spark: SparkSession, root: str, target: int = TARGET) -> int:
     bins: dict[str, dict] = {}
     for row in plan:
         bins.setdefault(row["bin"], {"partition": row["partition"], "old": []})["old"].append(row["path"])
-    names = spark.createDataFrame([(r["path"], r["bin"]) for r in plan], "path string, bin string")
+    sizes = dict.fromkeys(bins, 0)
+    for row in plan:
+        sizes[row["bin"]] += row["size"]
+    # Every core has work; beyond that a task sorts about ``target`` bytes, however large the lake is.
+    tasks = dealt(sizes, min(target, sum(sizes.values()) / spark.sparkContext.defaultParallelism))
+    names = spark.createDataFrame([(r["path"], r["bin"], tasks[r["bin"]]) for r in plan], "path string, bin string, task int")
     lines = spark.read.text([r["path"] for r in plan]).select("value", F.col("_metadata.file_path").alias("path"))
     own = uuid.uuid4().hex
     staged, new = f"{root}/{FOLDER}/.{own}", f"{root}/{FOLDER}/{own}"
-    # A bin is about ``target`` bytes, so it is one task and one file.
-    lines.join(names, "path").select("value", "bin").repartition("bin").write.partitionBy("bin").text(staged)
+    # A bin is about ``target`` bytes, so it is in one task and one file.
+    dealt_lines = lines.join(names, "path").repartitionById(max(tasks.values()) + 1, F.col("task"))
+    dealt_lines.select("value", "bin").write.partitionBy("bin").text(staged)
     for name, row in bins.items():
         (part,) = (n for n in commits.names(spark, f"{staged}/bin={name}") if n.startswith("part-"))
         commits.move(spark, f"{staged}/bin={name}/{part}", f"{new}{row['partition']}/part-{name}.json")

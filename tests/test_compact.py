@@ -65,3 +65,14 @@ def test_a_run_that_dies_is_finished_or_forgotten(spark, lake, monkeypatch):
     assert rows(compact.read_live(spark, lake, schemas.LAKE)) == before
     finish(spark, lake)
     assert rows(read_lake(spark, lake)) == before and files(spark, lake).max() == 1 and not compact.journals(spark, lake)
+
+
+def test_tasks_hold_about_the_target(spark, lake, monkeypatch):
+    assert compact.dealt({"a": 60, "b": 30, "c": 20, "d": 250, "e": 10}, 100) == {"a": 0, "b": 0, "c": 1, "d": 2, "e": 3}
+    move, written = commits.move, []
+    monkeypatch.setattr(commits, "move", lambda s, source, to: (written.append(source.rpartition("/")[2][:10]), move(s, source, to)))
+    before = rows(read_lake(spark, lake))
+    compact.compact(spark, lake)
+    # Names of written files begin with the number of their task.
+    assert len({name for name in written if not name.startswith("part-bin")} & {f"part-{i:05}" for i in range(99)}) > 1
+    assert rows(read_lake(spark, lake)) == before
