@@ -127,10 +127,11 @@ def _document_of_node(node: Column, doc: Column) -> Column:
     return node.bitwiseXOR(F.shiftleft(low, 64 - MASK_BITS))
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """``node, own`` of the nodes in ``wanted`` (and of few others): the set as bytes.
+def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> Callable[[Callable, str], DataFrame]:
+    """What a function makes of ``node, own``, in batches, of the nodes in ``wanted`` (and of few others).
 
-    ``wanted`` names one document of each node, so that copies do not send their sets too.
+    ``own`` is the set as bytes. Sets hold more bytes than the texts, so they are made again for each use
+    and not stored. ``wanted`` names one document of each node, so that copies do not send their sets too.
     """
     mask = _mask(wanted.select(_document_of_node(F.col("node"), F.col("least"))))
 
@@ -142,7 +143,19 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(nodes[at]), pa.array([owns[i].tobytes() for i in at], pa.binary())], ["node", "own"])
 
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return ids.mapInArrow(lambda b: _by_slices(b, pick), "node long, own binary")
+    return lambda made, schema: ids.mapInArrow(lambda b: map(made, _by_slices(b, pick)), schema)
+
+
+def _first_documents(marks: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``node, n, first`` of one document of each node, the one that ``nodes`` names (and of few others)."""
+    mask = _mask(nodes.select(_document_of_node(F.col("node"), F.col("least"))))
+
+    def pick(part: pa.RecordBatch) -> pa.RecordBatch:
+        part = part.filter(pa.array(_may_be_in(mask, part["name"].to_numpy())))
+        return part.select(["node", "n", "first"])
+
+    named = marks.select("node", "n", "first", _document_of_node(F.col("node"), F.col("doc_id")).alias("name"))
+    return named.mapInArrow(lambda b: _by_slices(b, pick), "node long, n int, first array<long>")
 
 
 def _repeat(marks: DataFrame) -> bool:
@@ -240,10 +253,12 @@ def _exploded(first: DataFrame, mask) -> DataFrame:
     return first.select("node", "n", "first").mapInArrow(lambda b: _by_slices(b, spread), "key long, node long, n int, pos int")
 
 
-def _by_hash(marks: DataFrame, least: float, folder: str) -> DataFrame:
-    """``key, node, n, pos, early, early_rows`` of the first shingles by hash that nodes share."""
-    spark = marks.sparkSession
-    single = marks.dropDuplicates(["node"]).select("node", "n", "first")
+def _by_hash(single: DataFrame, least: float, folder: str) -> DataFrame:
+    """``key, node, n, pos, early, early_rows`` of the first shingles by hash that nodes share.
+
+    A node that ``single`` has twice costs work and changes no pair.
+    """
+    spark = single.sparkSession
     keys = single.select("node", "n", F.posexplode("first").alias("pos", "key"))
     counted = keys.groupBy("key").agg(F.count("*").alias("rows"), F.count_if(_early(least)).alias("early_rows"))
     # Pairs grow with the early rows; a shingle without any joins nothing.
@@ -254,13 +269,14 @@ def _by_hash(marks: DataFrame, least: float, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/keys")
 
 
-def _by_frequency(sets: DataFrame, least: float, folder: str) -> tuple[DataFrame, DataFrame]:
+def _by_frequency(
+    spark: SparkSession, sets: Callable[[Callable, str], DataFrame], least: float, folder: str
+) -> tuple[DataFrame, DataFrame]:
     """``key, node, n, pos, early, early_rows`` in the order of all shingles of ``sets``, rare ones first,
     and the sets as ``node, n, own`` without shingles that no other holds.
 
     A shingle of one node joins nothing: it takes its place in the order and no row. Ties go by hash.
     """
-    spark = sets.sparkSession
 
     def spread(part: pa.RecordBatch) -> pa.RecordBatch:
         sizes = np.array([len(own.as_buffer()) // 8 for own in part["own"]], np.int64)
@@ -269,7 +285,7 @@ def _by_frequency(sets: DataFrame, least: float, folder: str) -> tuple[DataFrame
         names = [name for name in ("node", "n") if name in part.schema.names]
         return pa.RecordBatch.from_arrays([pa.array(values), *(part[name].take(rows) for name in names)], ["key", *names])
 
-    whole = sets.mapInArrow(lambda b: _by_slices(b, spread), "key long, node long")
+    whole = sets(spread, "key long, node long")
     whole.groupBy("key").agg(F.count("*").alias("held")).where("held > 1").write.parquet(f"{folder}/held")
     held = spark.read.schema("key long, held long").parquet(f"{folder}/held")
     mask = _mask(held.select("key"))
@@ -279,7 +295,7 @@ def _by_frequency(sets: DataFrame, least: float, folder: str) -> tuple[DataFrame
         kept = pa.array([own[_may_be_in(mask, own)].tobytes() for own in owns], pa.binary())
         return pa.RecordBatch.from_arrays([part["node"], pa.array([len(own) for own in owns], pa.int32()), kept], ["node", "n", "own"])
 
-    sets.mapInArrow(lambda b: _by_slices(b, restrict), "node long, n int, own binary").write.parquet(f"{folder}/restricted")
+    sets(restrict, "node long, n int, own binary").write.parquet(f"{folder}/restricted")
     restricted = spark.read.schema("node long, n int, own binary").parquet(f"{folder}/restricted")
     shared = restricted.mapInArrow(lambda b: _by_slices(b, spread), "key long, node long, n int").join(held, "key")
     # One partition of the window holds the shingles of one text.
@@ -347,12 +363,18 @@ def near_copies(
     folder = fresh_folder(spark, "near")
     _marks(docs, size, least).write.parquet(f"{folder}/marks")
     marks = spark.read.parquet(f"{folder}/marks")
-    nodes = marks.groupBy("node").agg(F.min("doc_id").alias("least"))
+    # What all steps need; the first shingles, the bulk of the marks, go when they have met.
+    marks.select("doc_id", "node").write.parquet(f"{folder}/ids")
+    ids = spark.read.schema("doc_id long, node long").parquet(f"{folder}/ids")
+    nodes = ids.groupBy("node").agg(F.min("doc_id").alias("least"))
+    repeat = _repeat(ids)
     marks.groupBy("node").agg(F.min("n").alias("n"), F.min("fp").alias("fp")).write.parquet(f"{folder}/prints")
     prints = spark.read.schema("node long, n int, fp long").parquet(f"{folder}/prints")
     _by_fingerprint(prints, least, f"{folder}/simhash").distinct().write.parquet(f"{folder}/proposed")
     proposed = spark.read.schema("u long, v long").parquet(f"{folder}/proposed")
-    meeting = _by_hash(marks, least, folder)
+    # One row a node; sorting is left out where no row can repeat another.
+    single = marks.dropDuplicates(["node"]).select("node", "n", "first") if repeat else _first_documents(marks, nodes)
+    meeting = _by_hash(single, least, folder)
     meeting.where(F.col("early_rows") > paired).select("node").distinct().write.parquet(f"{folder}/crowd")
     crowd = spark.read.schema("node long").parquet(f"{folder}/crowd")
     # Leaders compare crowds; texts of one template, by chance alike in their bits, are not proposed again.
@@ -363,13 +385,14 @@ def near_copies(
     wanted = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).union(crowd).distinct()
     sets = _sets(docs, wanted.join(nodes, "node"), size)
     # Read by no later step, not even where an executor is lost; so below.
-    for name in ("prints", "simhash", "proposed", "counted", "keys"):
+    for name in ("marks", "prints", "simhash", "proposed", "counted", "keys"):
         commits.remove(spark, f"{folder}/{name}")
-    # One set a node; sorting them is left out where no row can repeat another.
-    (sets.dropDuplicates(["node"]) if _repeat(marks) else sets).write.parquet(f"{folder}/sets")
-    sets = spark.read.schema("node long, own binary").parquet(f"{folder}/sets")
+    if repeat:
+        sets(lambda part: part, "node long, own binary").dropDuplicates(["node"]).write.parquet(f"{folder}/sets")
+        stored = spark.read.schema("node long, own binary").parquet(f"{folder}/sets")
+        sets = lambda made, schema: stored.mapInArrow(lambda b: _by_slices(b, made), schema)
     # Sets of nodes that are in no crowd change counts a little, and no result.
-    again, sets = _by_frequency(sets, least, folder)
+    again, sets = _by_frequency(spark, sets, least, folder)
     for name in ("sets", "held"):
         commits.remove(spark, f"{folder}/{name}")
     few = _pairs(again.where(F.col("early_rows") <= paired), least)
@@ -381,7 +404,7 @@ def near_copies(
         "node", "least", F.coalesce("root", "node").alias("root")
     )
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return marks.select("doc_id", "node").join(rooted.join(smallest, "root").select("node", "component_id"), "node").select(
+    return ids.join(rooted.join(smallest, "root").select("node", "component_id"), "node").select(
         "doc_id", "node", "component_id"
     )
 

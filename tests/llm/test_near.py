@@ -109,3 +109,17 @@ def test_texts_of_one_template_are_hardly_compared(spark, monkeypatch):
     found = near.near_copies(docs).collect()
     assert all(r.doc_id == r.component_id for r in found) and len(found) == 2_000
     assert sum(count) <= 2_000
+
+
+def test_sets_and_first_shingles_are_not_kept(spark, monkeypatch):
+    """Sets hold more bytes than the texts: where no row repeats another, no step stores them."""
+    existed, by_frequency = [], near._by_frequency
+
+    def looked(session, sets, least, folder):
+        existed.extend(name for name in ("marks", "sets") if near.commits.exists(session, f"{folder}/{name}"))
+        return by_frequency(session, sets, least, folder)
+
+    monkeypatch.setattr(near, "_by_frequency", looked)
+    rows = [(1000 + i, text) for i, (_, text) in enumerate(corpus())]
+    found = near.near_copies(spark.createDataFrame(rows, "doc_id long, text string"), paired=2).collect()
+    assert sorted(((r.doc_id, r.component_id) for r in found), key=str) == plain(rows) and existed == []
