@@ -17,6 +17,7 @@ from functools import cache
 from itertools import chain
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -32,8 +33,10 @@ GROUP = 2048
 # Words whose ids a Python worker remembers, and the longest such word in bytes: about 25 MB.
 KNOWN_WORDS = 150_000
 KNOWN_BYTES = 64
-# Texts whose words stand in memory at once.
-TEXTS = 256
+# Hashes of words by which a worker tells that it met a word before, until its memory is full.
+MET = 1 << 22
+# Bytes of texts whose words stand in memory at once; a word is encoded once for all of them.
+TEXT_BYTES = 2 << 20
 
 # Signs, without the apostrophe, which may begin a piece of its own with letters, and the signs of
 # special tokens; letters of U+00C0 to U+017F and ASCII, without one that is two in lower case.
@@ -48,7 +51,8 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 class WordTokens:
     """Ids of whole texts from a tokenizer in which no token spans white space.
 
-    Each word is encoded by itself and remembered, up to ``KNOWN_WORDS``; the ids are those of
+    Each word is encoded by itself. Words that come again in later calls are remembered, up to
+    ``KNOWN_WORDS``: most words come once and would take the room of others. The ids are those of
     ``encode(text)``, as unsigned 32-bit numbers, little-endian as on every platform Spark runs on.
     """
 
@@ -57,61 +61,66 @@ class WordTokens:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        self.met = bytearray(MET)
 
     def packed(self, texts: list[str | None]) -> Iterator[bytes]:
         """Packed ids of each text, with the end id."""
         known = self.known
         split = [list(words(text, lower=False)) for text in texts]
-        found = [[list(map(known.get, part)) for part in parts] for parts in split]
-        new = {
-            word
-            for parts, own in zip(split, found)
-            for part, ids in zip(parts, own)
-            if None in ids
-            for word, i in zip(part, ids)
-            if i is None
-        }
+        new = set().union(*chain.from_iterable(split)).difference(known)
         self._learn(new)
         end = array("I", [END_ID]).tobytes()
-        for parts, own in zip(split, found):
-            for part, ids in zip(parts, own):
-                if None in ids:
-                    ids[:] = map(known.__getitem__, part)
+        found = [b"".join(map(known.__getitem__, chain.from_iterable(parts))) + end for parts in split]
         # Before the first text is given out: callers need not ask for more than the texts they gave.
-        room = KNOWN_WORDS - (len(known) - len(new))
-        short = [w for w in new if len(w) <= KNOWN_BYTES]
-        for word in new.difference(short[: max(0, room)]):
+        room, kept = KNOWN_WORDS - (len(known) - len(new)), []
+        if room > 0:
+            marks = [hash(word) % MET for word in new]
+            kept = [w for w, mark in zip(new, marks) if self.met[mark] and len(w) <= KNOWN_BYTES][:room]
+            for mark in marks:
+                self.met[mark] = 1
+        for word in new.difference(kept):
             del known[word]
-        for own in found:
-            yield b"".join(chain.from_iterable(own)) + end
+        yield from found
 
     def _learn(self, new: set[bytes]) -> None:
         """Encode words. Letters are one piece to the tokenizer, and so are ASCII signs.
 
         Its model alone, without normalising and cutting, gives their ids in half the time.
         """
-        known, tokenize, signed, rest = self.known, self.tokenizer.model.tokenize, [], []
+        known, tokenize, coded, rest = self.known, self.tokenizer.model.tokenize, {}, []
+        # Lists side by side: a tuple a word would keep the garbage collector busy.
+        plain, own, signed, stems, signs = [], [], [], [], []
         for word in new:
             letters = word.rstrip(_SIGNS)
             if letters.isalpha():
-                low = letters.lower().decode()
+                low = letters.lower()
             elif _LETTERS.fullmatch(letters):
-                low = letters.decode().lower().encode().decode("latin-1").translate(_WRITTEN)
+                low = letters.decode().lower().encode()
             else:
                 rest.append(word)
                 continue
+            # Words that differ in capitals or signs only share the ids of their letters.
+            if (ids := coded.get(low)) is None:
+                if (ids := known.get(low)) is None:
+                    written = low.decode() if low.isascii() else low.decode("latin-1").translate(_WRITTEN)
+                    ids = array("I", [t.id for t in tokenize(written)]).tobytes()
+                coded[low] = ids
             if len(letters) == len(word):
-                known[word] = array("I", [t.id for t in tokenize(low)]).tobytes()
+                plain.append(word)
+                own.append(ids)
             else:
-                signed.append((word, letters, low))
-        signs = [*{word[len(letters) :] for word, letters, _ in signed}]
-        done = self.tokenizer.encode_batch_fast([w.decode() for w in rest + signs], add_special_tokens=False)
-        coded = [array("I", c.ids).tobytes() for c in done]
-        ends = dict(zip(signs, coded[len(rest) :]))
-        for word, letters, low in signed:
-            ids = known.get(letters) or array("I", [t.id for t in tokenize(low)]).tobytes()
-            known[word] = ids + ends[word[len(letters) :]]
-        known.update(zip(rest, coded))
+                signed.append(word)
+                stems.append(ids)
+                signs.append(word[len(letters) :])
+        distinct = [*set(signs)]
+        done = [
+            array("I", c.ids).tobytes()
+            for c in self.tokenizer.encode_batch_fast([w.decode() for w in rest + distinct], add_special_tokens=False)
+        ]
+        ends = dict(zip(distinct, done[len(rest) :]))
+        known.update(zip(plain, own))
+        known.update(zip(signed, map(bytes.__add__, stems, map(ends.__getitem__, signs))))
+        known.update(zip(rest, done))
 
 
 @cache
@@ -128,6 +137,18 @@ def cut(doc_id: int | None, packed: bytes, size: int) -> list[tuple]:
     ]
 
 
+def by_bytes(batch: pa.RecordBatch, name: str, most: int) -> Iterator[pa.RecordBatch]:
+    """Runs of rows whose texts in column ``name`` hold ``most`` bytes at most, or one row."""
+    start = size = 0
+    for at, n in enumerate(pc.binary_length(batch[name]).fill_null(0).to_pylist()):
+        if size + n > most and at > start:
+            yield batch.slice(start, at - start)
+            start, size = at, 0
+        size += n
+    if batch.num_rows:
+        yield batch.slice(start)
+
+
 def pieces(docs: DataFrame, tokenizer: str, size: int = SEQUENCE) -> DataFrame:
     """The pieces of each row of ``doc_id, text``; a null text holds the end id only."""
     schema = pa.schema([(n, pa.int64()) for n in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")])
@@ -137,8 +158,7 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = SEQUENCE) -> DataFrame:
         tokens = _tokens(tokenizer)
         for batch in batches:
             free_memory()
-            for at in range(0, batch.num_rows, TEXTS):
-                part = batch.slice(at, TEXTS)
+            for part in by_bytes(batch, "text", TEXT_BYTES):
                 ids = tokens.packed(part["text"].to_pylist())
                 rows = [piece for doc_id, own in zip(part["doc_id"].to_pylist(), ids) for piece in cut(doc_id, own, size)]
                 yield pa.RecordBatch.from_arrays(

@@ -59,6 +59,31 @@ def test_special_strings_and_full_memory(monkeypatch):
     assert len(tokens.known) <= 3
 
 
+def test_letters_are_encoded_once_for_all_capitals_and_signs():
+    """Words of many texts that share their letters cost one call of the tokenizer's model."""
+    tokens, calls = packing.WordTokens(PATH), []
+
+    class Model:
+        def tokenize(self, low, model=tokens.tokenizer.model):
+            calls.append(low)
+            return model.tokenize(low)
+
+    class Counted:
+        model, encode_batch_fast = Model(), tokens.tokenizer.encode_batch_fast
+
+    tokens.tokenizer = Counted()
+    texts = ["Zebra zebra, ZEBRA! Ängste", "zebra. ängste; ÄNGSTE", "(zebra zebra's"]
+    for text, own in zip(texts, tokens.packed(texts)):
+        assert list(array("I", own)) == TOKENIZER.encode(text, add_special_tokens=False).ids + [1]
+    assert len(calls) == 2
+
+
+def test_runs_of_rows_are_cut_by_bytes():
+    batch = packing.pa.RecordBatch.from_pydict({"text": ["aaaa", None, "é", "b" * 9, "", "c"]})
+    assert [p["text"].to_pylist() for p in packing.by_bytes(batch, "text", 6)] == [["aaaa", None, "é"], ["b" * 9], ["", "c"]]
+    assert list(packing.by_bytes(batch.slice(0, 0), "text", 6)) == []
+
+
 def test_first_fit_equals_linear_search():
     rng = np.random.default_rng(5)
     sizes = rng.integers(1, 101, 500).tolist()
@@ -99,3 +124,11 @@ def test_pieces_and_sequences(spark, folder):
         assert end <= 2048
     assert sum(r.length for r in rows) / (2048 * len(sequences)) > 0.95
     assert packing.packed(docs.limit(0), PATH).count() == 0
+
+
+def test_words_that_come_once_take_no_room(monkeypatch):
+    monkeypatch.setattr(packing, "KNOWN_WORDS", 50)
+    tokens = packing.WordTokens(PATH)
+    for at in range(0, 1000, 100):
+        list(tokens.packed([" ".join([*(f"once{i}" for i in range(at, at + 100)), *(f"often{i}" for i in range(20))])]))
+    assert {b"often%d" % i for i in range(20)} <= tokens.known.keys()
