@@ -89,3 +89,19 @@ def test_rows_are_made_once_for_all_readings(spark):
         done = phrases.rewrite_phrases(done, "text", table)
     assert {r.i: r.text for r in done.collect()} == {i: f"y {i}" for i in range(20)}
     assert made.value == 20
+
+
+def test_long_phrases_take_no_more_jobs(spark):
+    """Windows of all lengths meet the phrases at once."""
+    rows = spark.createDataFrame([(i, f"a b c d e f {i}") for i in range(20)], "i int, text string")
+
+    def jobs(phrase):
+        spark.sparkContext.setJobGroup(f"phrases {phrase}", "")
+        found = phrases.rewrite_phrases(rows, "text", spark.createDataFrame([(phrase, "x")], "phrase string, replacement string")).collect()
+        assert {r.text for r in found} == {f"a b c d e f {i}".replace(phrase, "x") for i in range(20)}
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"phrases {phrase}"))
+
+    try:
+        assert jobs("a b c d e") <= jobs("a b") + 1
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
