@@ -82,3 +82,18 @@ def test_files_appear_whole_and_once(spark, tmp_path):
     assert commits.read_text(spark, path) == "one é" and commits.names(spark, str(tmp_path / "log")) == ["1.json"]
     commits.move(spark, path, str(tmp_path / "log" / "2.json"))
     assert commits.remove(spark, str(tmp_path / "log" / "2.json")) and not commits.remove(spark, path)
+
+
+def test_a_batch_is_kept_in_files(spark, tmp_path, parts, monkeypatch):
+    """Parsed once, and not cached: thousands of long texts would stand in memory at once."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    def refuse(*_):
+        raise AssertionError("cached")
+
+    monkeypatch.setattr(DataFrame, "persist", refuse)
+    monkeypatch.setattr(DataFrame, "cache", refuse)
+    put(spark, tmp_path, 0, [post("a", 1), "broken"])
+    run(spark, tmp_path, parts, job.Distinct(timedelta(days=3)))
+    assert committed(spark, tmp_path) == (["a"], [("malformed", "broken")])
+    assert not list((tmp_path / "good" / "_split").iterdir())
