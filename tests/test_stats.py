@@ -1,12 +1,14 @@
 import math
 from collections import Counter
+from datetime import datetime
 
 import pytest
 from pyspark.ml.feature import IDF, CountVectorizer
 from pyspark.sql import functions as F
 
+from postlens import queries
 from postlens.functions.text import words
-from postlens.operators import rows, stats
+from postlens.operators import cleaning, rows, stats
 
 TEXTS = ["ut eu ut", "eu vel  ut", "", "ut", None, "nec"]
 
@@ -74,3 +76,20 @@ def test_days_merge_and_are_counted_once(spark, tmp_path):
     want = stats.corpus_stats(stage(whole.where("day is not null")), steps).collect()
     assert sorted(merged) == sorted(want) and len(want) == 3
     assert stats.add_days(whole.limit(0), stage, steps, str(tmp_path / "none")) == []
+
+
+def test_windows_do_not_put_all_posts_together_again(spark, monkeypatch):
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    plain = spark.createDataFrame([(datetime(2024, 1, 1 + i % 30, 5), f"The cat's {i}") for i in range(40)], "ts timestamp_ntz, text string")
+    monkeypatch.setattr(queries.derived, "posts", lambda *_: plain.mapInArrow(count, plain.schema))
+    found = queries.corpus_stats_by_day(spark, "").collect()
+    # Once for the last day, and once for the posts of all windows.
+    assert made.value == 2 * 40
+    want = stats.corpus_stats(cleaning.clean_stages(plain, "text", cleaning.ALL_STEPS), queries.STEPS).collect()
+    assert sorted(found) == sorted(want)
